@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from llm import quality_rules
+from llm import mixing, quality_rules
 
 QUERIES = {
+    "op5_mixing": mixing.op5_mixing,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
