@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from llm import mixing, quality_rules
+from llm import language_id, mixing, packing, quality_classifier, quality_rules
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op4_packing": packing.op4_packing,
     "op5_mixing": mixing.op5_mixing,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
