@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from llm import language_id, mixing, packing, quality_classifier, quality_rules
+from llm import html_text, language_id, mixing, packing, quality_classifier, quality_rules
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
     "op4_packing": packing.op4_packing,
     "op5_mixing": mixing.op5_mixing,
+    "op6_html_extraction": html_text.op6_html_extraction,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
