@@ -45,20 +45,38 @@ def shape(data: bytes) -> bytes:
     return c[np.r_[True, c[1:] != c[:-1]]].tobytes() if len(c) else b""
 
 
-def echo(data: bytes) -> bytes:
-    """For every word but the first, a letter: ``=`` equal to the word before, ``:`` equal to the last but one, ``.`` new, ``,`` seen before."""
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, in order; words are runs without ASCII white space."""
     a = np.frombuffer(data, dtype=np.uint8)
-    gap = np.isin(a, np.array([9, 10, 11, 12, 13, 32], dtype=np.uint8))
+    gap = _GAP[a]
     if not len(a) or gap.all():
-        return b""
+        return np.zeros(0, dtype=np.uint64)
     start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
-    mixed = np.where(gap, 0, a).astype(np.uint64) + np.uint64(1)
-    place = np.arange(len(a), dtype=np.int64) - np.repeat(start, np.diff(np.r_[start, len(a)])) if start[0] == 0 else np.r_[np.zeros(start[0], np.int64), np.arange(start[0], len(a)) - np.repeat(start, np.diff(np.r_[start, len(a)]))]
-    z = (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    z = (z ^ (z >> np.uint64(31))) * mixed * np.uint64(0xBF58476D1CE4E5B9)
+    place = np.arange(len(a), dtype=np.uint64)
+    place[start[0] :] -= np.repeat(start, np.diff(np.r_[start, len(a)])).astype(np.uint64)
+    z = (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(31))) * (a.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
     z ^= z >> np.uint64(29)
     z[gap] = 0
-    words = np.add.reduceat(z, start)
+    return mix(np.add.reduceat(z, start))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Each 64-bit number scrambled, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+
+
+def echo(data: bytes) -> bytes:
+    """For every word but the first, a letter: ``=`` equal to the word before, ``:`` equal to the last but one, ``.`` new, ``,`` seen before."""
+    words = word_hashes(data)
+    if not len(words):
+        return b""
     out = np.full(len(words), ord("."), dtype=np.uint8)
     first = np.zeros(len(words), dtype=bool)
     first[np.unique(words, return_index=True)[1]] = True

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from llm import embedding_dedup, html_text, language_id, mixing, packing, quality_classifier, quality_rules
+from llm import embedding_dedup, html_text, language_id, minhash_dedup, mixing, packing, quality_classifier, quality_rules
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_packing": packing.op4_packing,
     "op5_mixing": mixing.op5_mixing,
     "op6_html_extraction": html_text.op6_html_extraction,
