@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import embedding_dedup, html_text, language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules
+from llm import embedding_dedup, html_text, language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules, token_counts
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op5_mixing": mixing.op5_mixing,
     "op6_html_extraction": html_text.op6_html_extraction,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_pii": pii.op10_pii,
