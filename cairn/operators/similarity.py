@@ -12,7 +12,7 @@ from cairn.plans.scratch import stage
 
 def _bands(t: int, bands: int | None) -> tuple[list[tuple[int, int]], int]:
     """(shift, width) of each band, and how many bits may differ in the best one: at most t // bands."""
-    m = bands or (t + 1 if t < 4 else max(1, (t + 3) // 3))
+    m = bands or max(2, t + 1 if t < 4 else (t + 3) // 3)
     edges = [64 * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])], t // m
 

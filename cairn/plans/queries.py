@@ -28,7 +28,12 @@ def query(sql: str | None = None):
 
 
 c = F.col
-XYWH = (c("x"), c("y"), c("w"), c("h"))
+
+
+def xywh() -> tuple:
+    return c("x"), c("y"), c("w"), c("h")
+
+
 REMAP = "CASE cls WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 0 WHEN 3 THEN 2 WHEN 4 THEN 1 END"
 
 # --- label text ------------------------------------------------------------------------------------------------------
@@ -77,17 +82,17 @@ def class_only_scan(spark, d):
 
 @query(f"WITH {BOXES} SELECT split, cls, count(*)::BIGINT AS boxes, round(sum(w * h), 6) AS area FROM boxes WHERE {STRICT} GROUP BY ALL")
 def strict_valid(spark, d):
-    return boxes(spark, d).where(B.strict_valid(*XYWH)).groupBy("split", "cls").agg(F.count("*").alias("boxes"), F.round(F.sum(B.area(c("w"), c("h"))), 6).alias("area"))
+    return boxes(spark, d).where(B.strict_valid(*xywh())).groupBy("split", "cls").agg(F.count("*").alias("boxes"), F.round(F.sum(B.area(c("w"), c("h"))), 6).alias("area"))
 
 
 @query(f"WITH {BOXES} SELECT split, cls, count(*)::BIGINT AS boxes, round(max(CASE WHEN h <= 0 THEN 'inf'::DOUBLE ELSE w / h END), 6) AS widest FROM boxes WHERE {LOOSE} GROUP BY ALL")
 def loose_valid(spark, d):
-    return boxes(spark, d).where(B.loose_valid(*XYWH)).groupBy("split", "cls").agg(F.count("*").alias("boxes"), F.round(F.max(B.aspect_ratio(c("w"), c("h"))), 6).alias("widest"))
+    return boxes(spark, d).where(B.loose_valid(*xywh())).groupBy("split", "cls").agg(F.count("*").alias("boxes"), F.round(F.max(B.aspect_ratio(c("w"), c("h"))), 6).alias("widest"))
 
 
 @query(f"WITH {BOXES} SELECT source, count_if({LOOSE} AND NOT {STRICT})::BIGINT AS loose_only, count_if({STRICT})::BIGINT AS both, count_if(NOT {LOOSE})::BIGINT AS neither FROM boxes GROUP BY source")
 def validity_gap(spark, d):
-    s, l = B.strict_valid(*XYWH), B.loose_valid(*XYWH)
+    s, l = B.strict_valid(*xywh()), B.loose_valid(*xywh())
     return boxes(spark, d).groupBy("source").agg(F.count_if(l & ~s).alias("loose_only"), F.count_if(s).alias("both"), F.count_if(~l).alias("neither"))
 
 
@@ -96,20 +101,20 @@ CATEGORY = f"CASE WHEN {STRICT} THEN NULL WHEN w <= 0 OR h <= 0 THEN 'zero_area'
 
 @query(f"WITH {BOXES} SELECT cls, {CATEGORY} AS category, count(*)::BIGINT AS boxes FROM boxes WHERE NOT {STRICT} GROUP BY ALL")
 def reject_category(spark, d):
-    return boxes(spark, d).select("cls", B.reject_category(*XYWH).alias("category")).where("category is not null").groupBy("cls", "category").agg(F.count("*").alias("boxes"))
+    return boxes(spark, d).select("cls", B.reject_category(*xywh()).alias("category")).where("category is not null").groupBy("cls", "category").agg(F.count("*").alias("boxes"))
 
 
 @query(f"""WITH {BOXES}, t AS (SELECT unnest(list_filter([CASE WHEN x - w / 2 < -1e-6 THEN 'extends_past_left' END, CASE WHEN x + w / 2 > 1 + 1e-6 THEN 'extends_past_right' END,
  CASE WHEN y - h / 2 < -1e-6 THEN 'extends_past_top' END, CASE WHEN y + h / 2 > 1 + 1e-6 THEN 'extends_past_bottom' END, CASE WHEN w > 1 OR h > 1 THEN 'size_over_one' END], lambda s: s IS NOT NULL)) AS tag
  FROM boxes WHERE NOT {STRICT}) SELECT tag, count(*)::BIGINT AS boxes FROM t GROUP BY tag""")
 def reject_subtags(spark, d):
-    return boxes(spark, d).where(~B.strict_valid(*XYWH)).select(F.explode(B.subtags(*XYWH)).alias("tag")).groupBy("tag").agg(F.count("*").alias("boxes"))
+    return boxes(spark, d).where(~B.strict_valid(*xywh())).select(F.explode(B.subtags(*xywh())).alias("tag")).groupBy("tag").agg(F.count("*").alias("boxes"))
 
 
 @query(f"""WITH {BOXES} SELECT source, round(max(greatest(0, w / 2 - x)), 9) AS "left", round(max(greatest(0, x + w / 2 - 1)), 9) AS "right", round(max(greatest(0, h / 2 - y)), 9) AS top,
  round(max(greatest(0, y + h / 2 - 1)), 9) AS bottom FROM boxes GROUP BY source""")
 def overflow(spark, d):
-    return boxes(spark, d).select("source", B.overflow(*XYWH).alias("o")).groupBy("source").agg(*[F.round(F.max(f"o.{k}"), 9).alias(k) for k in ("left", "right", "top", "bottom")])
+    return boxes(spark, d).select("source", B.overflow(*xywh()).alias("o")).groupBy("source").agg(*[F.round(F.max(f"o.{k}"), 9).alias(k) for k in ("left", "right", "top", "bottom")])
 
 
 @query(f"""WITH {BOXES}, f AS (SELECT image, count_if({STRICT}) AS good, count_if(NOT {STRICT}) AS bad FROM boxes GROUP BY image)
@@ -123,7 +128,7 @@ def file_valid_mix(spark, d):
 
 @query(f"WITH {BOXES} SELECT source, {REMAP} AS cls, count(*)::BIGINT AS boxes FROM boxes WHERE cls <> 5 AND {REMAP} IS NOT NULL AND {STRICT} GROUP BY ALL")
 def remap_drop(spark, d):
-    return O.remap(boxes(spark, d), MAPPING, DROP).where(B.strict_valid(*XYWH)).groupBy("source", "cls").agg(F.count("*").alias("boxes"))
+    return O.remap(boxes(spark, d), MAPPING, DROP).where(B.strict_valid(*xywh())).groupBy("source", "cls").agg(F.count("*").alias("boxes"))
 
 
 @query(f"""WITH {BOXES}, f AS (SELECT source, image, count(*) AS raw, count_if(cls <> 5 AND {REMAP} IS NOT NULL AND {STRICT}) AS kept, count_if(cls = 5) AS dropped FROM boxes GROUP BY ALL)
@@ -141,7 +146,7 @@ def class_distribution_rollup(spark, d):
 @query(f"""WITH {BOXES}, b AS (SELECT split, {REMAP} AS cls, image FROM boxes WHERE cls <> 5 AND {STRICT}), n AS (SELECT split, cls, count(*) AS instances, count(DISTINCT image) AS images FROM b GROUP BY ALL)
 SELECT g.split, g.cls, coalesce(instances, 0)::BIGINT AS instances, coalesce(images, 0)::BIGINT AS images FROM (SELECT * FROM (VALUES ('F'), ('O')) s(split), (VALUES (0), (1), (2)) k(cls)) g LEFT JOIN n USING (split, cls)""")
 def dense_split_grid(spark, d):
-    kept = O.remap(boxes(spark, d).where(B.strict_valid(*XYWH)), MAPPING, DROP)
+    kept = O.remap(boxes(spark, d).where(B.strict_valid(*xywh())), MAPPING, DROP)
     counts = kept.groupBy("split", "cls").agg(F.count("*").alias("instances"), F.countDistinct("image").alias("images"))
     return O.dense_grid(counts, SPLITS, CLASSES, ["instances", "images"])
 
@@ -162,7 +167,7 @@ def label_health(spark, d):
 
 @query(f"""WITH {BOXES} SELECT source, {', '.join(f'round(quantile_cont(w * h, {p / 100}), 9) AS p{p}' for p in (1, 5, 10, 25, 50, 75, 90, 95, 99))} FROM boxes WHERE {LOOSE} GROUP BY source""")
 def bbox_percentiles(spark, d):
-    return O.percentiles(boxes(spark, d).where(B.loose_valid(*XYWH)), c("w") * c("h"), ["source"], [1, 5, 10, 25, 50, 75, 90, 95, 99])
+    return O.percentiles(boxes(spark, d).where(B.loose_valid(*xywh())), c("w") * c("h"), ["source"], [1, 5, 10, 25, 50, 75, 90, 95, 99])
 
 
 @query(f"WITH {BOXES} SELECT source, array_to_string(list_sort(list(DISTINCT cls)), ',') AS classes, count(DISTINCT cls)::BIGINT AS n FROM boxes GROUP BY source")
@@ -377,7 +382,7 @@ CLAMPED = """clamped AS (SELECT image, greatest(0, least(round_even((x - w / 2)
 
 @query(f"WITH {BOXES}, {CLAMPED} SELECT count(*)::BIGINT AS boxes, count_if(x2 - x1 < 20 OR y2 - y1 < 20)::BIGINT AS small, sum(x1)::BIGINT AS x1, sum(y1)::BIGINT AS y1, sum(x2)::BIGINT AS x2, sum(y2)::BIGINT AS y2 FROM clamped")
 def clamp_box(spark, d):
-    x, y, w, h = XYWH
+    x, y, w, h = xywh()
     k = boxes(spark, d).select(B.clamp((x - w / 2) * 640, F.lit(640), 1).alias("x1"), B.clamp((y - h / 2) * 480, F.lit(480), 1).alias("y1"), B.clamp((x + w / 2) * 640, F.lit(640)).alias("x2"), B.clamp((y + h / 2) * 480, F.lit(480)).alias("y2"))
     small = (c("x2") - c("x1") < 20) | (c("y2") - c("y1") < 20)
     return k.agg(F.count("*").alias("boxes"), F.count_if(small).alias("small"), *[F.sum(n).alias(n) for n in ("x1", "y1", "x2", "y2")])
