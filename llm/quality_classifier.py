@@ -106,17 +106,20 @@ def _curve(margin: np.ndarray, y: np.ndarray, each: np.ndarray) -> tuple[float,
     return max(1e-6, p[0] / scale), p[1]
 
 
-def fit(rows: DataFrame, per_class: int = 1000, cost: float = 1.0, seed: int = 11) -> Model:
-    """A model from rows of ``doc_id``, ``text`` and ``label`` (0 or 1)."""
-    rows = rows.where(F.col("label").isin(0, 1))
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, cost: float = 1.0, seed: int = 11) -> Model:
+    """A model from ``docs`` (``doc_id``, ``text``) and their ``labels`` (``doc_id``, ``label`` 0 or 1).
+
+    The sample is drawn from the labels alone, so the scan of texts meets a broadcast of about twice ``per_class`` ids."""
+    rows = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     counts = {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
     total = sum(counts.values())
     constant = Model(np.zeros(TABLE), 0.0, 1.0, float(np.clip(np.log(((counts.get(1, 0)) + 0.5) / (counts.get(0, 0) + 0.5)), -20, 20)))
     if len(counts) < 2:
         return constant
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / (1 << 30)
+    u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
     share = F.when(F.col("label") == 1, min(1.0, per_class / counts[1])).otherwise(min(1.0, per_class / counts[0]))
-    sample = rows.select("text", F.col("label").cast("int").alias("label"), u.alias("u")).where(F.col("u") < share).mapInArrow(_sampled, "label int, u double, ids binary").collect()
+    drawn = rows.select("doc_id", F.col("label").cast("int").alias("label"), u.alias("u")).where(F.col("u") < share)
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "label", "u").mapInArrow(_sampled, "label int, u double, ids binary").collect()
     sample = sorted(sample, key=lambda r: (r["u"] * max(1.0, counts[r["label"]] / per_class), r["ids"]))
     docs, y = [np.frombuffer(r["ids"], dtype="<i4") for r in sample], np.array([1.0 if r["label"] else -1.0 for r in sample])
     if len(set(y)) < 2:
@@ -153,5 +156,5 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column] | None = Non
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = ~held_out(F.col("doc_id"))
-    labelled = docs.where(fold).join(table(spark, sf_dir, "labels").where(fold).select("doc_id", F.col("quality").alias("label")).where(F.col("label").isNotNull()), "doc_id")
-    return predict(docs, fit(labelled), [F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out")])
+    labels = table(spark, sf_dir, "labels").where(fold).select("doc_id", F.col("quality").alias("label"))
+    return predict(docs, fit(docs, labels), [F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out")])
