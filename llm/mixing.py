@@ -112,7 +112,7 @@ def assign(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
     for i, g in enumerate(goal):
         full, got = int(g // words[i]) if words[i] else 0, []
         rest = g - full * words[i]
-        for b in order[i]:
+        for b in order[i] if rest >= 1 else ():  # less than a word can't be filled, not even by documents without words
             if held[i].get(b, 0) > rest:
                 edge[i] = (b, rest)
                 break

@@ -1,6 +1,6 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary, with a bounded cache of short units.
 
-A text is cut before a single space or line break that other text follows.  The vocabulary's own pre-tokens never cross
+A text is cut before a space or line break that something other than white space follows.  The vocabulary's own pre-tokens never cross
 such a place, whatever stands on either side, so units can be encoded on their own and their ids joined.
 """
 
@@ -11,8 +11,8 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-UNIT = re.compile(r"[ \n]?[^ \n]+|[ \n]+(?![^ \n])")
-CUT = re.compile(r"[ \n](?=[^ \n])")
+UNIT = re.compile(r"[\s\S][^ \n]*(?:[ \n](?!\S)[^ \n]*)*")
+CUT = re.compile(r"[ \n](?=\S)")
 #: Texts go through in pieces of about so many characters, cut where units end.
 STEP = 1 << 20
 CACHED = 300_000
