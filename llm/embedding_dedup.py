@@ -266,5 +266,12 @@ def link(vectors: DataFrame, over: float = 0.93, shard_rows: int = 4096, beam: i
     )
 
 
+#: The same rows in DuckDB SQL: all pairs of a label, then transitive closure.
+ORACLE_SQL = r"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+ t(id, m) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, t.m FROM t JOIN l ON l.a = t.id WHERE t.m < l.b), g AS (SELECT id, min(m) AS m FROM t GROUP BY id), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(g.m, vec_id) AS component_id, vec_id = coalesce(g.m, vec_id) AS kept FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN g ON g.id = vec_id"""
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "embeddings"))

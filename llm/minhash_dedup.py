@@ -246,5 +246,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return base.join(known, same, "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
 
 
+#: The same rows in DuckDB SQL: a prefix-filtered join on rare shingles, verified, then transitive closure.
+ORACLE_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+ u AS (SELECT min(doc_id) AS id, list_sort(s) AS s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY 2, 3),
+ x AS (SELECT id, n, unnest(s) AS g FROM u), f AS (SELECT g, count(*) AS c FROM x GROUP BY g),
+ r AS (SELECT id, n, g, row_number() OVER (PARTITION BY id ORDER BY c, g) AS k FROM x JOIN f USING (g)),
+ p AS (SELECT id, n, g FROM r WHERE k <= n - (4 * n + 4) // 5 + 1),
+ c AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.g = b.g AND a.id < b.id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+ e AS (SELECT a, b FROM c JOIN u x ON x.id = a JOIN u y ON y.id = b WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))),
+ both_ AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+ t(id, m) AS (SELECT a, a FROM both_ UNION SELECT both_.b, t.m FROM t JOIN both_ ON both_.a = t.id WHERE t.m < both_.b),
+ g AS (SELECT id, min(m) AS m FROM t GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(g.m, u.id, s.doc_id) AS component_id, s.doc_id = coalesce(g.m, u.id, s.doc_id) AS kept
+FROM s LEFT JOIN u ON u.s = list_sort(s.s) LEFT JOIN g ON g.id = u.id"""
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)

@@ -16,4 +16,7 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_pii": pii.op10_pii,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_dedup": minhash_dedup.ORACLE_SQL,
+    "op8_embedding_dedup": embedding_dedup.ORACLE_SQL,
+}
