@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from cairn.functions import boxes as B
+from cairn.operators import balance
 from cairn.operators import boxes as O
 from cairn.operators import similarity as S
 from cairn.plans.tables import BOXES, CLASSES, DETECTIONS, DROP, HASHES, LOOSE, MAPPING, SPLITS, STRICT, boxes, detections, hashes, read
@@ -312,6 +313,18 @@ def band_subset_case_a(spark, d):
     return w.where(~((c("total") - c("before") > MOST) & (c("r") <= c("n") - 1))).select("lang", "doc_id", "density")
 
 
+@query("""WITH RECURSIVE d AS (SELECT lang, doc_id, n_chars // 100 AS density FROM documents), t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY density, doc_id) AS k FROM d),
+ arr AS (SELECT lang, list(density ORDER BY k) FILTER (WHERE k <= 50) AS sel, list(density ORDER BY k) FILTER (WHERE k > 50) AS rest FROM t GROUP BY lang),
+ st(lang, i, j, total) AS (SELECT lang, 0::BIGINT, len(rest)::BIGINT, list_sum(sel)::BIGINT FROM arr UNION ALL
+  SELECT s.lang, CASE WHEN s.total - sel[i + 1] + rest[j] <= 1600 THEN i + 1 ELSE i END, j - 1, CASE WHEN s.total - sel[i + 1] + rest[j] <= 1600 THEN s.total - sel[i + 1] + rest[j] ELSE s.total END
+  FROM st s JOIN arr a ON a.lang = s.lang WHERE s.total < 1500 AND i < len(sel) AND j >= 1 AND rest[j] > sel[i + 1])
+SELECT lang, arg_min(total, j)::BIGINT AS total, 50::BIGINT AS kept FROM st GROUP BY lang""")
+def band_subset_full(spark, d):
+    """50 documents of each language whose densities sum to 1,500 to 1,600, by swapping picks for denser documents."""
+    docs = read(spark, d, "documents").select("lang", c("doc_id").alias("id"), F.expr("n_chars div 100").alias("density"), c("doc_id").alias("ord"))
+    return balance.band_subset(docs, "lang", 50, 1500, 1600).groupBy("lang").agg(F.sum("density").alias("total"), F.count("*").alias("kept"))
+
+
 # --- names, joins ------------------------------------------------------------------------------------------------------
 
 
