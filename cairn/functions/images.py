@@ -17,7 +17,7 @@ def hash_pixels(pixels: np.ndarray, size: int = 8, scale: int = 4) -> int:
     """Signed 64-bit hash (``size`` 8) of a grey or colour array of rows by columns."""
     grey = pixels.astype(np.float64)
     if grey.ndim == 3:
-        grey = grey[..., :3] @ np.array([0.114, 0.587, 0.299])  # blue, green, red
+        grey = grey[..., :3] @ np.array([0.114, 0.587, 0.299]) if grey.shape[2] > 2 else grey[..., 0]  # blue, green, red
     n = size * scale
     rows = np.linspace(0, grey.shape[0], n + 1)
     cols = np.linspace(0, grey.shape[1], n + 1)

@@ -14,9 +14,13 @@ CROPS = "crop_file string, video string, frame_index int, time_sec double, class
 REVIEWS = "crop_file string, decision string, confidence double, timestamp string"
 
 
+def _plain(uri: Column) -> Column:
+    """A file's path without scheme, decoded."""
+    return F.url_decode(F.regexp_replace(F.regexp_replace(uri, r"^[a-z]+:/+", "/"), r"\+", "%2B"))
+
+
 def _path() -> Column:
-    """The file's path without scheme, decoded."""
-    return F.url_decode(F.regexp_replace(F.regexp_replace("_metadata.file_path", r"^[a-z]+:/+", "/"), r"\+", "%2B"))
+    return _plain(F.col("_metadata.file_path"))
 
 
 def stem(path: Column) -> Column:
@@ -41,9 +45,12 @@ def scan_labels(spark: SparkSession, root: str, recursive: bool = True) -> DataF
 
 
 def scan_label_files(spark: SparkSession, root: str) -> DataFrame:
-    """Label files with their content hash and size, empty ones included."""
+    """Label files with their content hash and size.  Spark's readers pass over empty files, so those come from the listing."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").format("binaryFile").load(root)
-    return files.select(_path().alias("label_path"), F.sha1("content").alias("sha1"), "length").withColumn("split", split_of(F.col("label_path")))
+    listed = spark.createDataFrame([(u,) for u in files.inputFiles()], "uri string").select(_plain(F.col("uri")).alias("label_path"))
+    read = files.select(_path().alias("label_path"), F.sha1("content").alias("sha1"), "length")
+    out = listed.join(read, "label_path", "left").select("label_path", F.coalesce("sha1", F.sha1(F.lit("").cast("binary"))).alias("sha1"), F.coalesce("length", F.lit(0)).alias("length"))
+    return out.withColumn("split", split_of(F.col("label_path")))
 
 
 def scan_media(spark: SparkSession, root: str, extensions: tuple[str, ...] = IMAGE_EXTENSIONS, digest: bool = False) -> DataFrame:
