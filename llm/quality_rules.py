@@ -3,12 +3,14 @@
 Each document gets two histograms: its non-space characters by class, and its common words (fixed lists of function words)
 plus one bin for all other words.  Both are compared by Jensen-Shannon distance with the reference of every language; the
 reference is the mean histogram of all long enough documents of that language, found in a first pass over the whole table.
-A document is far from natural text if its nearest reference is farther than a threshold.
+A document is far from natural text if its nearest reference is farther than a threshold.  For the classes that is a fixed
+distance; for the common words it is a share of what a text without any common word reaches, for each reference its own.
 
 Defined results for odd input: a null or empty text has no words, fails the base rules and has null distances.  A document
 below ``min_words`` or ``min_chars`` is too short for stable histograms, so the divergence verdict leaves it alone.  Rows
 are judged on their own: repeated rows give repeated results.  Extra columns are ignored, unless listed in ``keep``.  An
-empty table gives an empty result.  A missing or unknown language only leaves a row out of the references.
+empty table gives an empty result.  A missing or unknown language leaves a row out of the references; one that is named but
+has no word list leaves it out of the common-word verdict too, which has nothing to hold it against.
 """
 
 from __future__ import annotations
@@ -145,22 +147,37 @@ def _word_distance(ref: dict[int, float]) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), let(seen, lambda s: (s["d"] + absent(s) + _term(1 - s["p"], F.lit(float(rest)))) / 2)))
 
 
-def apply(docs: DataFrame, min_words: int = 50, min_chars: int = 200, max_char_distance: float = 0.3, max_word_distance: float = 0.6, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def empty_distance(ref: dict[int, float]) -> float:
+    """Word distance from the reference to a text without any common word; 0 if the reference has none either."""
+    common = math.fsum(ref.values())
+    rest = max(0.0, 1 - common)
+    return math.sqrt(max(0.0, (common + math.log2(2 / (1 + rest)) + (rest and rest * math.log2(2 * rest / (1 + rest)))) / 2))
+
+
+def apply(docs: DataFrame, min_words: int = 50, min_chars: int = 200, max_char_distance: float = 0.3, max_word_share: float = 0.9, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Counts, distances and verdict of each row of ``docs``, see the module's text.
 
     ``char_distance`` and ``word_distance`` are those to the nearest reference, null where a text is too short to judge.
-    ``kept`` is false if ``base_failed``, or if a distance is over its threshold."""
+    ``kept`` is false if ``base_failed``, if ``char_distance`` is over ``max_char_distance``, or if the word distance to every
+    reference is over ``max_word_share`` of its ``empty_distance``."""
     with_lang = docs if "lang" in docs.columns else docs.withColumn("lang", F.lit(None).cast("string"))
     feats = materialize(features(with_lang, tuple(dict.fromkeys((*keep, "lang")))), "features")
     refs = references(feats, min_words, min_chars)
     long_enough = (F.col("n_words") >= min_words) & (F.col("word_chars") >= min_chars)
     null = F.lit(None).cast("double")
+    limits = [max_word_share * empty_distance(w) if w else None for _, w in refs.values()]  # without common words a reference says nothing
+    judged = F.col("lang").isNull() | F.col("lang").isin(*COMMON_WORDS)
+    few_common = F.lit(False)
+    if any(x is not None for x in limits):
+        over = [F.col("_words")[i] > x for i, x in enumerate(limits) if x is not None]
+        few_common = judged & F.coalesce(F.array_min(F.array(*over)), F.lit(False))
     nearest = lambda cols: F.array_min(F.array(*cols)) if cols else null
     return (
         feats.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
         .withColumn("char_distance", F.when(long_enough, nearest([_char_distance(c) for c, _ in refs.values()])))
-        .withColumn("word_distance", F.when(long_enough, nearest([_word_distance(w) for _, w in refs.values()])))
-        .withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_distance", F.lit(0.0)) <= max_char_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance))
+        .withColumn("_words", F.when(long_enough, F.array(*[_word_distance(w) for _, w in refs.values()]).cast("array<double>")))
+        .withColumn("word_distance", F.array_min("_words"))
+        .withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_distance", F.lit(0.0)) <= max_char_distance) & ~few_common)
         .select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
     )
 

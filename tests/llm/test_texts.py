@@ -156,6 +156,23 @@ def test_divergence_is_that_of_histograms(spark, docs):
         assert r["w"] == pytest.approx(distance([*p, 1 - sum(p)], [*[common.get(k, 0.0) for k in range(len(listed))], rest]), abs=1e-6)
 
 
+def test_word_salad_is_rejected(spark):
+    """Texts without function words go, whatever language they claim; prose, and text of a language without a list, stays."""
+    rng = random.Random(8)
+    salad = lambda lang: " ".join(w if w not in quality_rules._word_list() else w + "x" for w in prose(rng, lang, 120).lower().rstrip(".").split())
+    natural = lambda lang: " ".join(rng.choice(quality_rules.COMMON_WORDS[lang]) if rng.random() < 0.4 else w for w in salad(lang).split())
+    good = [(i, natural(lang), lang, "s", 0) for i, lang in enumerate("en de fr es".split() * 15)]
+    odd = [(100 + i, salad(lang), lang, "s", 0) for i, lang in enumerate("en de fr es".split())] + [(104, salad("en"), None, "s", 0), (105, salad("de"), "xx", "s", 0)]
+    got = {r["doc_id"]: r for r in quality_rules.apply(spark.createDataFrame(good + odd, DOCS)).collect()}
+    assert all(got[r[0]]["kept"] for r in good) and [got[r[0]]["kept"] for r in odd] == [False] * 5 + [True]
+    assert not any(got[r[0]]["base_failed"] or got[r[0]]["char_distance"] > 0.3 for r in odd)
+    feats = quality_rules.features(spark.createDataFrame(good + odd, DOCS))
+    for _, words in quality_rules.references(feats, 50, 200).values():
+        far = feats.where("doc_id = 104").select(quality_rules._word_distance(words).alias("w")).first()["w"]
+        assert far == pytest.approx(quality_rules.empty_distance(words), abs=1e-9)
+    assert all(r["kept"] for r in quality_rules.apply(spark.createDataFrame(odd[:1], DOCS)).collect())  # its own reference has no common words
+
+
 def test_mixing(docs, rows, empty):
     frame = docs.withColumn("target", F.lit("clash"))
     first, again = mixing.assign(frame), mixing.assign(frame.repartition(7))
