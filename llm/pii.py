@@ -2,13 +2,16 @@
 
 Detected: e-mail addresses, IPv4 addresses, telephone numbers, card and account numbers of 13 to 19 digits, social security
 numbers, access key ids, values of passwords, tokens and the like, and names after a title.  A surrogate comes from a keyed,
-format-preserving permutation: letters stay letters of their case, digits digits, hexadecimal strings hexadecimal, signs stay;
+format-preserving permutation: letters stay letters of their case and script, digits digits, hexadecimal strings hexadecimal,
+signs stay, save in a secret of so few letters and digits that under a million could be told apart, which gets random letters;
 an address keeps its top-level domain and one domain always gets one surrogate; a card keeps whether its check digit is
 right; an octet stays below 256.  A name gets a name of the title's gender and of its own script.  So one entity has one
 surrogate in all documents (coreference), and different entities of one format differ by construction.
 
 Collision checks cover what the permutation can't: a surrogate that two entities share, or that occurs as an entity of the
 corpus, or that equals its entity.  All but the first of such entities move on to their next surrogate until none is left.
+Where a format has no free surrogate, so that some still collide after ``most`` rounds, those get random letters, more of them
+in each further round: they give up the format (an address only its local part, a name the number of syllables).
 Only these exceptions are shipped to the replacing pass: by broadcast up to ``broadcast_rows``, by a join beyond.
 
 Defined results for odd input: a null text stays null, an empty one empty, both without entities.  Texts are read whole.
@@ -20,6 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -57,6 +62,24 @@ FIND = re.compile("|".join(p for _, p in PATTERNS))
 HINT = re.compile(r"[0-9@=:]|\b(?:" + _TITLE + r")\b")
 KINDS = tuple(k for k, _ in PATTERNS)
 GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+#: Attempts from here on don't keep the format.
+FREE = 1000
+#: A secret that has fewer forms than this under the permutation gets random letters.
+FORMS = 10**6
+ASCII = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+@lru_cache(maxsize=100_000)
+def alphabet(c: str) -> str:
+    """The characters that may stand for ``c``: ASCII of its class, else the letters or digits of its script, case and
+    Unicode neighbourhood; empty for a sign."""
+    for k in ASCII:
+        if c in k:
+            return k
+    kind, script = unicodedata.category(c), unicodedata.name(c, "").split(" ")[0]
+    if kind[0] != "L" and kind != "Nd":
+        return ""
+    return "".join(x for x in map(chr, range(ord(c) & ~0x7F, (ord(c) | 0x7F) + 1)) if unicodedata.category(x) == kind and unicodedata.name(x, "").split(" ")[0] == script)
 
 
 def entities(text: str) -> list[tuple[str, str, int, int]]:
@@ -97,28 +120,39 @@ class Surrogates:
 
     def shaped(self, s: str, tweak: str) -> str:
         """``s`` with each letter and digit replaced by one of its class; hexadecimal strings stay so."""
-        classes = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+        sets, form = [alphabet(c) for c in s], None
         if len(s) >= 8 and re.fullmatch(r"[0-9a-f]+", s) and re.search("[a-f]", s):
-            classes = ["0123456789abcdef"]
-        place, digits, radix, sets = [], [], [], []
-        for i, c in enumerate(s):
-            for k in classes:
-                if c in k:
-                    place.append(i)
-                    digits.append(k.index(c))
-                    radix.append(len(k))
-                    sets.append(k)
+            sets, form = ["0123456789abcdef"] * len(s), len(s)
+        place = [i for i, k in enumerate(sets) if k]
+        if form is None:
+            form = "".join(k[0] if k else c for k, c in zip(sets, s))
         out = list(s)
-        for i, k, d in zip(place, sets, self.permute(digits, radix, f"{tweak}|{re.sub('[0-9]', '0', re.sub('[a-z]', 'a', re.sub('[A-Z]', 'A', s))) if len(classes) > 1 else len(s)}")):
-            out[i] = k[d]
+        for i, d in zip(place, self.permute([sets[i].index(s[i]) for i in place], [len(sets[i]) for i in place], f"{tweak}|{form}")):
+            out[i] = sets[i][d]
         return "".join(out)
 
+    def letters(self, n: int, *what: object) -> str:
+        """``n`` random letters."""
+        out: list[str] = []
+        for block in itertools.count():
+            if len(out) >= n:
+                return "".join(out[:n])
+            x = self._draw("letters", block, *what)
+            for _ in range(50):
+                x, i = divmod(x, 26)
+                out.append(ASCII[1][i])
+
     def _of(self, kind: str, value: str, attempt: int) -> str:
         tweak = f"{kind}|{attempt}"
         if kind == "email":
             local, domain = value.rsplit("@", 1)
             rest, top = domain.rsplit(".", 1)
-            return f"{self.shaped(local, tweak)}@{self.shaped(rest.lower(), 'domain')}.{top}"
+            new = self.shaped(local, tweak) if attempt < FREE else self.letters(len(local) + 8 + attempt - FREE, tweak, value)
+            return f"{new}@{self.shaped(rest.lower(), 'domain')}.{top}"
+        if not kind.startswith("name:") and attempt >= FREE:
+            return self.letters(len(value) + 8 + attempt - FREE, tweak, value)
+        if kind == "secret" and math.prod(len(alphabet(c)) or 1 for c in value) < FORMS:
+            return self.letters(len(value), tweak, value)
         if kind == "ip":
             return ".".join(map(str, self.permute([int(x) for x in value.split(".")], [256] * 4, tweak)))
         if kind == "key":
@@ -134,7 +168,7 @@ class Surrogates:
             script = first if first in SYLLABLES else "LATIN"
             n, parts = self._draw(tweak, value), []
             given, syllables = GIVEN[script, kind[-1]], SYLLABLES[script]
-            for k in range(3 + attempt // 4):
+            for k in range(3 + attempt // 4 if attempt < FREE else 16 + attempt - FREE):
                 n, i = divmod(n, len(syllables))
                 parts.append(syllables[i])
             family = "".join(parts).capitalize()
@@ -173,11 +207,11 @@ def _mapped(key: str):
 
 
 def exceptions(docs: DataFrame, key: str, most: int = 50) -> DataFrame:
-    """``kind``, ``value`` and ``attempt`` of the entities whose first surrogate collides."""
+    """``kind``, ``value`` and ``attempt`` of the entities whose first surrogate collides; ``most`` rounds keep the format."""
     schema = "kind string, value string, attempt int, surrogate string"
     known = materialize(docs.select("text").where("text is not null").mapInArrow(_values, "kind string, value string").distinct(), "entities")
     now = known.withColumn("attempt", F.lit(0))
-    for _ in range(most):
+    for rounds in itertools.count(1):
         now = materialize(now.select("kind", "value", "attempt").mapInArrow(_mapped(key), schema), "surrogates")
         first = now.groupBy("surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("m"), F.count("*").alias("c")).where("c > 1").select("surrogate", "m.*")
         real = known.select(F.col("value").alias("surrogate")).distinct()
@@ -189,8 +223,8 @@ def exceptions(docs: DataFrame, key: str, most: int = 50) -> DataFrame:
         clash = materialize(clash, "clashes")
         if clash.isEmpty():
             return now.where("attempt > 0").select("kind", "value", "attempt")
-        now = now.join(clash.withColumn("again", F.lit(1)), ["kind", "value"], "left").select("kind", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
-    raise RuntimeError("surrogates still collide")
+        onward = F.col("attempt") + 1 if rounds < most else F.greatest(F.col("attempt") + 1, F.lit(FREE))
+        now = now.join(clash.withColumn("again", F.lit(1)), ["kind", "value"], "left").select("kind", "value", F.when(F.col("again").isNull(), F.col("attempt")).otherwise(onward).alias("attempt"))
 
 
 def _replaced(key: str, known: dict[tuple[str, str], int]):

@@ -324,6 +324,28 @@ def test_colliding_surrogates_move_on(spark):
     assert len(real) == len(new) and not real & new
 
 
+ODD_SECRETS = ["********", "______", "------", "••••••••", "*****7", "секретный", "пароль99", "contraseñaé", "密码密码密码", "٣٤٥٦٧٨", "p@$$!!"]
+
+
+def test_secrets_without_ascii_letters_move(spark):
+    """Masks and other scripts get surrogates of the same length, all of their letters and digits may change."""
+    df = spark.createDataFrame([(i, f"password: {v} end", "en", "s", 0) for i, v in enumerate(ODD_SECRETS)], DOCS)
+    new = [r["text"].removeprefix("password: ").removesuffix(" end") for r in pii.replace(df).orderBy("doc_id").collect()]
+    assert len(set(new)) == len(new) and not set(new) & set(ODD_SECRETS) and [len(x) for x in new] == [len(x) for x in ODD_SECRETS]
+    for old, x in zip(ODD_SECRETS[5:10], new[5:10]):
+        assert sum(a == b for a, b in zip(old, x)) < len(old) / 2 and [pii.alphabet(a) for a in old] == [pii.alphabet(b) for b in x]
+
+
+def test_full_formats_are_resolved(spark, monkeypatch):
+    """All addresses of a format are in the corpus, so none of it is free; rounds still end, and with distinct surrogates."""
+    monkeypatch.setattr(pii.exceptions, "__defaults__", (2,))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    real = [f"{a}@{b}.co" for a in letters for b in letters]
+    df = spark.createDataFrame([(i, v, "en", "s", 0) for i, v in enumerate(real)], DOCS)
+    new = [r["text"] for r in pii.replace(df).collect()]
+    assert len(set(new)) == len(real) and not set(new) & set(real) and all(pii.entities(x)[0][:2] == ("email", x) for x in new)
+
+
 def test_permutation_is_one_to_one():
     s = pii.surrogates("k")
     assert len({tuple(s.permute([a, b, c], [10, 26, 3], "t")) for a in range(10) for b in range(26) for c in range(3)}) == 780
