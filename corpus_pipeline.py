@@ -11,14 +11,11 @@ from pyspark.sql import functions as F
 from llm import language_id, minhash_dedup, mixing, packing, pii
 from llm.common import held_out, materialize, table
 
-#: Below this share of the languages' values a document counts as of no language; clean text scores above 0.3.
-MIN_SCORE = 0.3
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without letters or with a score below ``MIN_SCORE`` go."""
+    """Documents in a learned language; those without letters go.  The score of a short text is low in any language, so it isn't asked."""
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
-    return language_id.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    return language_id.predict(docs, model).where(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm import language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules, token_counts, tokens
 from tests.llm.conftest import DOCS, prose
 
@@ -29,6 +30,14 @@ def test_language_id(spark, docs, empty):
     assert {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
 
 
+def test_short_documents_stay_in_the_pipeline(spark, docs, rows):
+    """One word is enough to stay; only what has no letters goes."""
+    short = [(1000 + i, t, None, "s0", 0) for i, t in enumerate(["Avec.", "De.", "Re.", "a", "Qwkz", "Mentmentan.", "12 !!", "", None])]
+    got = corpus_pipeline.keep_languages(spark, docs.union(spark.createDataFrame(short, DOCS)), "")
+    assert got.columns == docs.columns
+    assert sorted(r["doc_id"] for r in got.collect() if r["doc_id"] is not None) == sorted(r[0] for r in [*rows, *short] if r[0] is not None and r[1] and any(map(str.isalpha, r[1])))
+
+
 def test_language_kernel_is_that_of_sets():
     seen = np.zeros(len(language_id.SIZES) << 16, dtype=bool)
     grams = []
