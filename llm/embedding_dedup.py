@@ -1,19 +1,23 @@
 """Near-duplicate embeddings by hierarchical navigable small-world graphs, a graph for each shard.
 
-Equal vectors of a label are one node with a count.  The nodes of a label are dealt to shards of about ``shard_rows`` by
-hash, and each shard builds a graph.  Every node queries every shard of its label; a query's beam doubles while all of it
-lies over the threshold, and every shard's beam doubles until an audit, a sample of queries compared with all vectors of the
-shard, finds every link.  Links are verified by cosine in double precision.  A task holds one pair of shards and returns a
-row for each vector, its number of links and one link towards its group's smallest id, so groups of any size stay linear.
+Equal vectors of a label are one node with a count, told apart by a 128-bit digest.  The nodes of a label are dealt to shards
+of about ``shard_rows`` by hash, and each shard builds a graph.  Every node queries every shard of its label; a query's beam
+doubles while all of it lies over the threshold, and every shard's beam doubles until an audit finds every link: its queries
+are compared with all vectors of the shard, half of them nodes and half made so that they have a link close to the threshold.
+Links are verified by cosine in double precision.  A task holds one pair of shards and returns a row for each vector, its number
+of links and one link towards its group's first, so groups of any size stay linear.  Pairs of shards are listed as numbers, and
+graphs are joined to them by shard, so that every shard's graph is sent equally often.
 
 Defined results for odd input: a vector that is null, all zeros, or holds a null or a number that isn't finite links with
 nothing, nor does one with a null label; vectors of different lengths never link.  Such a row is a component of its own.
-Repeated rows are vectors of their own, linked by cosine 1; a null id stays null and is ignored as a smallest id.  An empty
-table gives an empty result.  Extra columns are ignored.
+Repeated rows are vectors of their own, linked by cosine 1, and so are rows that share an id; a null id links like others and
+is never a smallest id: a component of null ids alone keeps null, and such rows are kept.  An empty table gives an empty
+result.  Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import logging
 import pickle
 
 import numpy as np
@@ -21,10 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import materialize, table
+from llm.common import hot_keys, materialize, remove, spread_join, table
 from llm.graph import components, local_components
 
 BATCH = 256
+#: Labels of more than one shard are broadcast up to this number (about 30 bytes each), and joined by shuffle beyond.
+BROADCAST_LABELS = 200_000
+log = logging.getLogger(__name__)
 
 
 class Graph:
@@ -181,22 +188,37 @@ def _exact(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray, over: flo
     return a[keep], b[keep]
 
 
-def audited(graph: Graph, x: np.ndarray, q: np.ndarray, over: float, beam: int, audit: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """All links of queries ``q`` to the graph's vectors ``x`` (both in double precision), and the beam that passed the audit."""
-    check = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-    truth = [(q[check[k : k + BATCH]] @ x.T >= over).sum(1) for k in range(0, len(check), BATCH)]
-    truth = np.concatenate(truth) if truth else np.zeros(0, int)
+def planted(x: np.ndarray, over: float, many: int) -> np.ndarray:
+    """Unit vectors that each have one of ``x`` (unit vectors) a little over the threshold."""
+    rng = np.random.default_rng(17)
+    at = x[rng.integers(0, len(x), many)]
+    side = rng.normal(size=at.shape)
+    side -= np.einsum("nd,nd->n", side, at)[:, None] * at
+    length = np.sqrt((side * side).sum(1, keepdims=True))
+    near = min(1.0, over + 0.1 * (1 - over))
+    out = near * at + np.sqrt(1 - near * near) * side / np.maximum(length, 1e-12)
+    return np.where(length > 1e-9, out, at)
+
+
+def audited(graph: Graph, x: np.ndarray, q: np.ndarray, over: float, beam: int, audit: int) -> tuple[np.ndarray, np.ndarray, int, int, int]:
+    """All links of queries ``q`` to the graph's vectors ``x`` (both in double precision), the beam that passed the audit, and
+    how many links the audit knew of and found with the first beam."""
+    check = np.concatenate([q[np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))], planted(x, over, audit)])
+    truth = np.concatenate([(check[k : k + BATCH] @ x.T >= over).sum(1) for k in range(0, len(check), BATCH)])
+    at_first = None
     while True:
-        a, b = _exact(q[check], x, *graph.near(q[check], over - 1e-4, beam), over)
-        if beam >= len(x) or (np.bincount(a, minlength=len(check)) >= truth).all():
+        a, _ = _exact(check, x, *graph.near(check, over - 1e-4, beam), over)
+        found = np.bincount(a, minlength=len(check))
+        at_first = int(found.sum()) if at_first is None else at_first
+        if beam >= len(x) or (found >= truth).all():
             break
         beam *= 2
     a, b = _exact(q, x, *graph.near(q, over - 1e-4, beam), over)
-    return a, b, beam
+    return a, b, beam, int(truth.sum()), at_first
 
 
-def _unit(rows: pd.Series) -> np.ndarray:
-    x = np.stack(rows.to_numpy()).astype(np.float64)
+def _unit(rows: np.ndarray) -> np.ndarray:
+    x = rows.astype(np.float64)
     x /= np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -214,56 +236,110 @@ def _result(ids: np.ndarray, many: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return pd.DataFrame({"id": ids[some], "links": links[some], "low": low[some]})
 
 
-def _pairs(graph_a, graph_b, over: float, beam: int, audit: int) -> pd.DataFrame:
+def _pairs(graph_a, graph_b, over: float, beam: int, audit: int, tally) -> pd.DataFrame:
+    """Result rows of the links between two shards, or within one; ``tally`` gets the audits' figures."""
     (ids_a, many_a, x_a, g_a), (ids_b, many_b, x_b, g_b) = graph_a, graph_b
-    a, b, _ = audited(g_b, x_b, x_a, over, beam, audit)
+    a, b, _, truth, found = audited(g_b, x_b, x_a, over, beam, audit)
+    tally(truth, found)
     if graph_a is graph_b:
         code = np.unique(np.minimum(a, b) * np.int64(len(ids_b)) + np.maximum(a, b))
         a, b = np.divmod(code, len(ids_b))
         return _result(ids_a, many_a, a[a != b], b[a != b])
-    c, d, _ = audited(g_a, x_a, x_b, over, beam, audit)
+    c, d, _, truth, found = audited(g_a, x_a, x_b, over, beam, audit)
+    tally(truth, found)
     code = np.unique(np.concatenate([a * np.int64(len(ids_b)) + b, d * np.int64(len(ids_b)) + c]))
     a, b = np.divmod(code, len(ids_b))
     return _result(np.r_[ids_a, ids_b], np.r_[many_a, many_b], a, b + len(ids_a))
 
 
-def link(vectors: DataFrame, over: float = 0.93, shard_rows: int = 4096, beam: int = 64, audit: int = 128) -> DataFrame:
+def _sent(ids: np.ndarray, many: np.ndarray, e: np.ndarray, graph: Graph) -> bytes:
+    """A shard with its graph, the vectors as they came and neighbours in as few bytes as hold them."""
+    small = np.int16 if len(ids) < 1 << 15 else np.int32
+    return pickle.dumps((ids, many, e, graph.top, graph.entry, graph.degree, [x.astype(small) for x in graph.next]), protocol=5)
+
+
+def _received(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+    ids, many, e, top, entry, degree, near = pickle.loads(data)
+    x, graph = _unit(e), Graph.__new__(Graph)
+    graph.x, graph.top, graph.entry, graph.degree, graph.next = x.astype(np.float32), top, entry, degree, [n.astype(np.int32) for n in near]
+    return ids, many, x, graph
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """A row for each different vector of a label that can link: ``id``, ``h`` and ``i`` (its digest), ``label``, ``e``, ``low``, ``many``."""
+    alike = rows.where("h is not null").groupBy("h", "i").agg(F.first("label").alias("label"), F.first("e").alias("e"), F.min("vec_id").alias("low"), F.count("*").alias("many"))
+    return materialize(alike.withColumn("id", F.monotonically_increasing_id()), "nodes")
+
+
+def _dealt(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes with their ``shard`` and the ``shards`` of their label; and the labels that have several."""
+    alive = nodes.select("label", F.size("e").alias("dim"), "id", "many", "e", "h")
+    wide = alive.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards")).where("shards > 1")
+    wide = materialize(wide, "labels")
+    near = F.broadcast(wide) if wide.count() <= BROADCAST_LABELS else wide
+    shards = F.coalesce("shards", F.lit(1))
+    return alive.join(near, ["label", "dim"], "left").withColumn("shards", shards).withColumn("shard", F.pmod("h", "shards").cast("int")).drop("h"), wide
+
+
+def link(vectors: DataFrame, over: float = 0.93, shard_rows: int = 4096, beam: int = 64, audit: int = 64) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of each row of ``vectors`` (``vec_id``, ``embedding``, ``label``)."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("_l"), F.col("embedding").cast("array<double>").alias("_e"))
-    fine = F.col("_l").isNotNull() & F.col("_e").isNotNull() & F.forall("_e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("_e", lambda x: x != 0)
-    rows = rows.select("vec_id", F.when(F.coalesce(fine, F.lit(False)), F.struct("_l", "_e")).alias("_k"))
-    nodes = materialize(rows.where("_k is not null").groupBy("_k").agg(F.min("vec_id").alias("id"), F.count("*").alias("many")), "nodes")
-    alive = nodes.where("id is not null").select(F.col("_k._l").alias("label"), F.size("_k._e").alias("dim"), "id", "many", F.col("_k._e").alias("e"))
-    shards = alive.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
-    dealt = alive.join(shards, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
+    e = F.col("embedding")
+    numbers = lambda a: a.isNotNull() & F.forall(a, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(a, lambda x: x != 0)
+    fine = F.coalesce(F.col("label").isNotNull() & numbers(e), F.lit(False))
+    digest = lambda salt: F.when(fine, F.xxhash64(F.lit(salt), "label", e))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", e.alias("e"), digest(1).alias("h"), digest(2).alias("i"))
+    slim = materialize(rows.select("vec_id", "h", "i"), "rows")
+    nodes = _nodes(rows)
+    dealt, wide = _dealt(nodes, shard_rows)
+    context = vectors.sparkSession.sparkContext
+    known_of, found_of = context.accumulator(0), context.accumulator(0)
+
+    def tally(truth: int, found: int) -> None:
+        known_of.add(truth)
+        found_of.add(found)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        x = _unit(pdf["e"])
+        raw = np.stack(pdf["e"].to_numpy())
+        x = _unit(raw)
         own = (pdf["id"].to_numpy(), pdf["many"].to_numpy(), x, Graph(x))
-        out = _pairs(own, own, over, beam, audit)
-        graph = pickle.dumps(own) if pdf["shards"].iat[0] > 1 else None
+        out = _pairs(own, own, over, beam, audit, tally)
+        graph = _sent(own[0], own[1], raw, own[3]) if pdf["shards"].iat[0] > 1 else None
         return pd.DataFrame({"label": [pdf["label"].iat[0]], "dim": [pdf["dim"].iat[0]], "shard": [pdf["shard"].iat[0]], "graph": [graph], "out": [list(out.itertuples(index=False, name=None))]})
 
-    kind = dict(alive.dtypes)["label"]
-    built = materialize(dealt.groupBy("label", "dim", "shard").applyInPandas(build, f"label {kind}, dim int, shard int, graph binary, out array<struct<id:long,links:long,low:long>>"), "graphs")
-    first = built.select(F.explode("out").alias("o")).select("o.*")
-    a, b = built.where("graph is not null").select("label", "dim", "shard", "graph"), built.where("graph is not null").select("label", "dim", F.col("shard").alias("other"), F.col("graph").alias("graph_b"))
+    kind = dict(dealt.dtypes)["label"]
+    schema = f"label {kind}, dim int, shard int, graph binary, out array<struct<id:long,links:long,low:long>>"
+    built = materialize(dealt.groupBy("label", "dim", "shard").applyInPandas(build, schema), "graphs")
+    within = built.select(F.explode("out").alias("o")).select("o.*")
+
+    # Shard i meets the next half of the shards in a circle: every pair once, every shard equally often.
+    turn = F.explode(F.sequence(F.lit(1), (F.col("shards") / 2).cast("int"))).alias("turn")
+    pairs = wide.select("label", "dim", "shards", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")).select("*", turn)
+    pairs = pairs.where("2 * turn < shards or shard < turn").select("label", "dim", "shard", ((F.col("shard") + F.col("turn")) % F.col("shards")).alias("other"))
+    graphs = built.where("graph is not null").select("label", "dim", "shard", "graph")
+    others = graphs.select("label", "dim", F.col("shard").alias("other"), F.col("graph").alias("graph_b"))
 
     def cross(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([_pairs(pickle.loads(g), pickle.loads(h), over, beam, audit) for g, h in zip(pdf["graph"], pdf["graph_b"])])
+        return pd.concat([_pairs(_received(g), _received(h), over, beam, audit, tally) for g, h in zip(pdf["graph"], pdf["graph_b"])])
+
+    met = pairs.join(graphs, ["label", "dim", "shard"]).join(others, ["label", "dim", "other"])
+    between = met.groupBy("label", "dim", "shard", "other").applyInPandas(cross, "id long, links long, low long")
+    parts = materialize(within.unionByName(between), "links")
+    log.info("audits knew %d links, the first beam found %d", known_of.value, found_of.value)
 
-    second = a.join(b, ["label", "dim"]).where("shard < other").groupBy("label", "dim", "shard", "other").applyInPandas(cross, "id long, links long, low long")
-    parts = materialize(first.unionByName(second), "links")
-    count = parts.groupBy("id").agg(F.sum("links").alias("links"))
     group = components(parts.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    known = nodes.join(count, "id", "left").join(group, "id", "left").select("_k", "many", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
-    return rows.join(known, "_k", "left").select(
-        "vec_id",
-        F.coalesce(F.col("links") + F.col("many") - 1, F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(True)).alias("kept"),
-    )
+    count = parts.groupBy("id").agg(F.sum("links").alias("links"))
+    known = nodes.drop("label", "e").join(count, "id", "left").join(group, "id", "left")
+    known = materialize(known.select("h", "i", "many", "low", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component")), "known")
+    least = materialize(known.groupBy("component").agg(F.min("low").alias("least"), F.count("*").alias("c")), "least")
+    broad = hot_keys(least, ["component"], "c", known.count())
+    known = materialize(spread_join(known, least.drop("c"), ["component"], broad), "known")
+    remove(parts, built, nodes, wide, group, least)
+    often = hot_keys(known, ["h", "i"], "many", slim.count())
+    out = spread_join(slim, known.select("h", "i", "many", "links", "least"), ["h", "i"], often, "left")
+    top = F.when(F.col("many").isNull(), F.col("vec_id")).otherwise(F.col("least"))
+    links = F.coalesce(F.col("links") + F.col("many") - 1, F.lit(0)).cast("long")
+    return out.select("vec_id", links.alias("n_links"), top.alias("component_id"), F.col("vec_id").eqNullSafe(top).alias("kept"))
 
 
 #: The same rows in DuckDB SQL: all pairs of a label, then transitive closure.

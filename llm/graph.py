@@ -6,30 +6,45 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import materialize, remove
+from llm.common import hot_keys, materialize, remove, spread_join
 
+#: Below so many edges no node's edges are too many for a task.
+SMALL = 200_000
 
-def components(links: DataFrame, most: int = 40) -> DataFrame:
+
+def components(links: DataFrame) -> DataFrame:
     """``id`` and ``component`` (the smallest id that can be reached) of every end of ``links`` (``a``, ``b``) that isn't the
-    smallest itself.  Each step is two aggregations and joins; nothing but a count and a checksum comes to the driver."""
+    smallest itself.  Each step is two aggregations and joins, the edges of a hub dealt to several tasks; nothing but a count
+    and a checksum comes to the driver.  The steps end by themselves, after about the squared logarithm of the nodes."""
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = None
-    for _ in range(most):
+    mark, total = None, edges.count()
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        up, used = edges.select(F.col("v").alias("u"), F.col("u").alias("v")), [edges]
+        large = _by_node(up, least, total, used).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        if total > SMALL:
+            large = materialize(large, "large")
+            used.append(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        ends = F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        small = _by_node(large, least, total, used).select(F.explode(ends).alias("e")).select("e.*").where("u <> v").distinct()
         now = materialize(small, "edges")
         row = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        remove(edges)
-        edges = now
+        remove(*used)
+        edges, total = now, row[0]
         if tuple(row) == mark:
-            break
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
         mark = tuple(row)
-    else:
-        raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def _by_node(edges: DataFrame, least: DataFrame, total: int, used: list[DataFrame]) -> DataFrame:
+    """``edges`` with the ``m`` of their node ``u``; a hub's edges go to several tasks."""
+    if total <= SMALL:
+        return edges.join(least, "u")
+    hot = materialize(hot_keys(edges.groupBy("u").agg(F.count("*").alias("c")), ["u"], "c", total), "hubs")
+    used.append(hot)
+    return spread_join(edges, least, ["u"], hot)
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

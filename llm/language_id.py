@@ -5,13 +5,14 @@ counted once, over the root of the product of their numbers.  Nyström landmarks
 a short vector for each text, and one-versus-rest kernel ridge regression gives a value for each language.  Scoring is a
 product of the batch's matrix of n-gram flags with that of the landmarks.
 
-The model is fitted on a bounded sample: about ``per_language`` labelled rows of each language, ``landmarks`` of them as
+The model is fitted on a bounded sample: ``per_language`` different texts of each language at most, ``landmarks`` of them as
 landmarks; the driver gets one row for each language and the n-gram numbers of that sample, at most 196,608 a text.
 Learned from: text and non-null lang of the rows that ``fold`` allows.  Used for a prediction: the text alone.
 
 Defined results for odd input: ``und`` and score 0 for a null text, one without letters, and when nothing could be learned.
 Texts of any length are read whole, in steps.  Rows are judged on their own, so repeated rows give repeated results; ties
-between languages go to the first by name.  An empty table gives an empty result; clashing extra columns are replaced.
+between languages go to the first by name.  An empty table gives an empty result; extra columns pass through, save ones named
+like added columns, which are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import ngrams
-from llm.common import held_out, table
+from llm.common import bounded_sample, held_out, sliced, spare, table
 
 SIZES = (1, 2, 3)
 BATCH = 256
@@ -61,19 +62,12 @@ class Model:
 
 def fit(rows: DataFrame, per_language: int = 250, landmarks: int = 32, ridge: float = 1e-3, seed: int = 7) -> Model | None:
     """A model from rows of ``text`` and ``lang``; None where no row has both."""
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
-    if not counts:
-        return None
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / (1 << 30)
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
-    sample = rows.select("text", "lang", u.alias("u")).where(F.col("u") < share).mapInArrow(_sampled, "lang string, u double, ids binary").collect()
-    langs, by = sorted(counts), {}
+    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("lang", F.col("text").cast("string").alias("text"))
+    sample = bounded_sample(rows, "lang", F.xxhash64(F.lit(seed), "text"), per_language).mapInArrow(_sampled, "lang string, u double, ids binary").collect()
+    by: dict[str, list[np.ndarray]] = {}
     for r in sorted(sample, key=lambda r: (r["u"], r["ids"])):
         by.setdefault(r["lang"], []).append(np.frombuffer(r["ids"], dtype="<i4"))
-    langs = [x for x in langs if x in by]
+    langs = sorted(by)
     if not langs:
         return None
     marks = [ids for x in langs for ids in by[x][:landmarks]]
@@ -101,16 +95,15 @@ def fit(rows: DataFrame, per_language: int = 250, landmarks: int = 32, ridge: fl
     return model
 
 
-def _scores(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model: Model = shared.value
-    seen = np.zeros(len(SIZES) << ngrams.BITS, dtype=bool)
-    for b in batches:
-        texts, n = b.column("_text"), b.num_rows
-        lang, score = ["und"] * n, np.zeros(n)
-        for lo in range(0, n, BATCH):
-            at, flags, totals = [], np.zeros((min(BATCH, n - lo), len(model.columns)), dtype=np.float32), []
-            for i in range(lo, min(n, lo + BATCH)):
-                t = texts[i].as_py()
+def _scores(shared, text: str, drop: bool):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        seen = np.zeros(len(SIZES) << ngrams.BITS, dtype=bool)
+        flags = np.zeros((BATCH, len(model.columns)), dtype=np.float32)
+        for b in sliced(batches, text, BATCH):
+            lang, score, at, totals = ["und"] * b.num_rows, np.zeros(b.num_rows), [], []
+            for i, held in enumerate(b.column(text)):
+                t = held.as_py()
                 if t and any(map(str.isalpha, t)):
                     _flags(t, seen)
                     flags[len(at)] = seen[model.columns]
@@ -122,18 +115,24 @@ def _scores(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 p = v[np.arange(len(at)), best] / v.sum(1)
                 for i, k, s in zip(at, best, p):
                     lang[i], score[i] = model.langs[k], min(1.0, float(s))
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in b.schema.names if c != "_text"], pa.array(lang), pa.array(score)], [*[c for c in b.schema.names if c != "_text"], "lang_pred", "score"])
+            keep = [c for c in b.schema.names if not (drop and c == text)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(lang, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
+
+    return of
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str | Column] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus ``lang_pred`` and ``score`` of each row."""
-    kept = docs.select(*(docs.columns if keep is None else keep))
-    kept = kept.drop("lang_pred", "score", "_text")
+    kept = docs.select(*(docs.columns if keep is None else keep)).drop("lang_pred", "score")
     if model is None:
-        return docs.select(*kept.columns, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return kept.select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most landmarks x 196,608 numbers
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*(docs.columns if keep is None else keep), F.col("text").alias("_text")).drop("lang_pred", "score").mapInArrow(lambda it: _scores(shared, it), schema)
+    if keep is None and kept.schema["text"].dataType == T.StringType():
+        return kept.mapInArrow(_scores(shared, "text", False), schema)
+    text = spare("text_", kept.columns)  # one copy of the text only
+    sent = docs.select(*(docs.columns if keep is None else keep), F.col("text").cast("string").alias(text)).drop("lang_pred", "score")
+    return sent.mapInArrow(_scores(shared, text, True), schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,19 +6,25 @@ their own: longest first, each into the first sequence with room, which a tourna
 finds in logarithmic time.  Then the last sequences of a group are cut up to fill the gaps of the others, so a group leaves
 at most one sequence short.
 
+A document's group comes from its id, its text and, where a task meets equal rows again or the id is null, the copy's number
+and the task's: copies spread over all groups.  Equal rows are interchangeable, so counting them gives a task that runs again
+the same groups whatever order it reads them in.
+
 Defined results for odd input: a null or empty text is a document of the end id alone; a null id is packed like others.
-Repeated rows are documents of their own; rows equal in id and text share a group.  Texts of any length are encoded whole,
-in steps.  An empty table gives an empty result.  Extra columns are ignored.
+Repeated rows are documents of their own.  Documents of equal length are packed in order of id, then place.  Texts of any
+length are encoded whole, in steps.  An empty table gives an empty result.  Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +37,20 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 def _pieces(path: str, length: int, groups: int, end: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, tail, full = tokens.encoder(path), end.to_bytes(4, "little"), 4 * length
+        task = TaskContext.get().partitionId() if TaskContext.get() else 0
+        met: dict[bytes, int] = {}  # copies so far by a digest of id and text: about a hundred bytes a document of this task
         for b in batches:
             out: list[tuple] = []
             size = 0
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                data = (text.as_py() or "").encode("utf-8", "replace")
-                group = zlib.crc32(b"%d|%d" % (-1 if doc is None else doc, zlib.crc32(data))) % groups
-                ids = enc.ids(data.decode("utf-8")) + tail
+                t = text.as_py() or ""
+                row = hashlib.blake2b(b"%d|" % doc if doc is not None else b"|", digest_size=12)
+                row.update(t.encode("utf-8", "replace"))
+                copy = met[row.digest()] = met.get(row.digest(), -1) + 1
+                if copy or doc is None:
+                    row.update(b"|%d|%d" % (copy, task))
+                group = int.from_bytes(row.digest()[:6], "little") % groups
+                ids = enc.ids(t) + tail
                 n = len(ids) // 4
                 for at in range(0, n - n % length, length):
                     out.append((group, doc, at, length, zlib.crc32(memoryview(ids)[4 * at : 4 * at + full]), n, None))

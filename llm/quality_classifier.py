@@ -6,13 +6,14 @@ before, seen before, new).  Each is scaled by the log ratio of its smoothed freq
 support-vector machine with hinge loss is fitted to the scaled vectors by dual coordinate descent.  A logistic curve, fitted
 to margins of rows that the machine has not seen and weighted to the classes' true shares, makes a margin a score.
 
-The model is fitted on a bounded sample: about ``per_class`` labelled rows of each class, which the driver gets as n-gram
+The model is fitted on a bounded sample: ``per_class`` labelled documents of each class at most, which the driver gets as n-gram
 numbers, at most 720,896 a text.  Learned from: text and label of the rows that ``fold`` allows.  Used for a score: the text alone.
 
 Defined results for odd input: a null or empty text has no n-grams and gets the score of the bias.  With fewer than two
 classes learned every score is the share of label 1 (0.5 without labels).  Null labels are left out; a document with
-several labels counts with each.  Texts of any length are read whole, in steps.  Repeated rows give repeated results, an
-empty table an empty one; clashing extra columns are replaced.
+several labels counts with each, once however often a label is repeated; an id with several texts is learned with the least.
+Texts of any length are read whole, in steps.  Repeated rows give repeated results, equal texts equal scores, an empty table an
+empty result; extra columns pass through, save ones named like added columns, which are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import ngrams
-from llm.common import held_out, table
+from llm.common import bounded_sample, held_out, sliced, spare, table
 
 BYTES, SHAPE, ECHO = (2, 3, 4), (2, 3, 4, 5, 6), (2, 3, 4)
 TABLE = (len(BYTES) + len(SHAPE) + len(ECHO)) << ngrams.BITS
@@ -109,17 +110,17 @@ def _curve(margin: np.ndarray, y: np.ndarray, each: np.ndarray) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, cost: float = 1.0, seed: int = 11) -> Model:
     """A model from ``docs`` (``doc_id``, ``text``) and their ``labels`` (``doc_id``, ``label`` 0 or 1).
 
-    The sample is drawn from the labels alone, so the scan of texts meets a broadcast of about twice ``per_class`` ids."""
-    rows = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    counts = {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
+    The sample is drawn from the labels alone, so the scan of texts meets a broadcast of twice ``per_class`` ids at most."""
+    rows = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("label").cast("int").alias("label"), "doc_id")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     constant = Model(np.zeros(TABLE), 0.0, 1.0, float(np.clip(np.log(((counts.get(1, 0)) + 0.5) / (counts.get(0, 0) + 0.5)), -20, 20)))
     if len(counts) < 2:
         return constant
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
-    share = F.when(F.col("label") == 1, min(1.0, per_class / counts[1])).otherwise(min(1.0, per_class / counts[0]))
-    drawn = rows.select("doc_id", F.col("label").cast("int").alias("label"), u.alias("u")).where(F.col("u") < share)
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "label", "u").mapInArrow(_sampled, "label int, u double, ids binary").collect()
+    drawn = bounded_sample(rows, "label", F.xxhash64(F.lit(seed), "doc_id"), per_class)
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    once = texts.groupBy("doc_id", "label", "u").agg(F.min("text").alias("text"))
+    sample = once.select("text", "label", "u").mapInArrow(_sampled, "label int, u double, ids binary").collect()
     sample = sorted(sample, key=lambda r: (r["u"] * max(1.0, counts[r["label"]] / per_class), r["ids"]))
     docs, y = [np.frombuffer(r["ids"], dtype="<i4") for r in sample], np.array([1.0 if r["label"] else -1.0 for r in sample])
     if len(set(y)) < 2:
@@ -135,22 +136,26 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, cost: float =
     return Model(w, bias, *_curve(margin, y, each))
 
 
-def _scores(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model: Model = shared.value
-    seen = np.zeros(TABLE, dtype=bool)
-    for b in batches:
-        score = np.array([model.score(_flags(t.as_py(), seen)) for t in b.column("_text")], dtype=np.float64)
-        names = [c for c in b.schema.names if c != "_text"]
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
+def _scores(shared, text: str):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        seen = np.zeros(TABLE, dtype=bool)
+        for b in sliced(batches, text):
+            score = np.array([model.score(_flags(t.as_py(), seen)) for t in b.column(text)], dtype=np.float64)
+            keep = [c for c in b.schema.names if c != text]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*keep, "score", "predicted"])
+
+    return of
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str | Column] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus ``score`` and ``predicted`` of each row."""
-    base = docs.select(*(docs.columns if keep is None else keep), F.col("text").alias("_text")).drop("score", "predicted")
+    kept = docs.select(*(docs.columns if keep is None else keep)).drop("score", "predicted")
+    text = spare("text_", kept.columns)
+    sent = docs.select(*(docs.columns if keep is None else keep), F.col("text").cast("string").alias(text)).drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 720,896 numbers
-    fields = [f for f in base.schema.fields if f.name != "_text"]
-    schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return base.mapInArrow(lambda it: _scores(shared, it), schema)
+    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return sent.mapInArrow(_scores(shared, text), schema)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

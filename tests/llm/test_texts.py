@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from llm.common import bounded_sample
 from llm import language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules, token_counts, tokens
 from tests.llm.conftest import DOCS, prose
 
@@ -48,6 +49,49 @@ def test_language_kernel_is_that_of_sets():
         assert np.count_nonzero(seen) == len(grams[-1])
 
 
+def test_nystroem_with_all_landmarks_is_the_exact_kernel(spark):
+    """With every learned text a landmark, values are those of kernel ridge regression on the set kernel, written out here."""
+    rng = random.Random(21)
+    learn = [(i, prose(rng, lang, 12), lang) for i, lang in enumerate("en de fr".split() * 8)]
+    ask = [prose(rng, lang, 9) for lang in "en de fr".split() * 4]
+    model = language_id.fit(spark.createDataFrame(learn, "doc_id long, text string, lang string"), per_language=8, landmarks=8, ridge=0.05)
+    assert model.langs == ["de", "en", "fr"] and len(model.marks) == 24
+    seen = np.zeros(len(language_id.SIZES) << 16, dtype=bool)
+
+    def grams(text):
+        language_id._flags(text, seen)
+        return set(np.flatnonzero(seen).tolist())
+
+    kernel = lambda a, b: np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in b] for x in a])
+    sets, y = [grams(t) for _, t, _ in learn], np.array([[1.0 if lang == k else -1.0 for k in model.langs] for *_, lang in learn])
+    exact = kernel([grams(t) for t in ask], sets) @ np.linalg.solve(kernel(sets, sets) / 8 + 0.05 * np.eye(24), y / 8)
+    got = []
+    for t in ask:
+        language_id._flags(t, seen)
+        got.append(model.values(seen[model.columns][None, :].astype(np.float32), np.array([float(seen.sum())]))[0])
+    assert np.allclose(got, exact, atol=0.02)
+
+
+def test_samples_are_bounded(spark):
+    """A row repeated thousands of times counts once, and a draw never exceeds its bound."""
+    rows = spark.createDataFrame([("en", f"text {i % 700}" if i % 3 else "the same") for i in range(9000)] + [("de", "ein"), ("de", "zwei")], "lang string, text string")
+    got = bounded_sample(rows, "lang", F.xxhash64("text"), 50).collect()
+    assert len([r for r in got if r["lang"] == "en"]) == 50 == len({r["text"] for r in got if r["lang"] == "en"}) and len(got) == 52
+    labels = rows.select(F.lit(1).cast("long").alias("doc_id"), F.lit(1).alias("label")).union(spark.createDataFrame([(2, 0)], "doc_id long, label int"))
+    model = quality_classifier.fit(spark.createDataFrame([(1, "good text")] * 500 + [(2, "BAD!!")], "doc_id long, text string"), labels)
+    assert quality_classifier.predict(spark.createDataFrame([(3, "good text", 0)], "doc_id long, text string, score int"), model).columns == ["doc_id", "text", "score", "predicted"]
+
+
+@pytest.mark.parametrize("n", [1, 5])
+def test_repeated_and_long_texts_score_alike(spark, n):
+    rows = spark.createDataFrame([(i % 3, "word " * (200_000 if i % 3 == 2 else 20), "x", "y") for i in range(3 * n)], "doc_id long, text string, text_ string, predicted string")
+    model = quality_classifier.Model(np.ones(quality_classifier.TABLE), 0.0, 0.01, 0.0)
+    got = quality_classifier.predict(rows, model).collect()
+    assert len(got) == 3 * n and len({(r["doc_id"], r["score"]) for r in got}) == 3 and {r["text_"] for r in got} == {"x"}
+    langs = language_id.predict(rows, language_id.fit(rows.withColumn("lang", F.lit("en")))).collect()
+    assert {(r["lang_pred"], r["predicted"]) for r in langs} == {("en", "y")}
+
+
 def test_quality_classifier(spark, empty):
     rng = random.Random(2)
     good = [prose(rng, rng.choice("en de fr es".split()), rng.randint(10, 80)) for _ in range(150)]
@@ -63,6 +107,22 @@ def test_quality_classifier(spark, empty):
     assert quality_classifier.predict(df.limit(0), model).count() == 0
 
 
+def test_coordinate_descent_finds_the_optimum():
+    """The dual's solution has the value of a slow projected gradient solver of the same problem."""
+    rng = np.random.default_rng(3)
+    docs = [np.unique(rng.integers(0, 12, 5)) for _ in range(30)]
+    y, ratio, cost = rng.choice([-1.0, 1.0], 30), rng.normal(size=12), np.full(30, 0.7)
+    w, b = quality_classifier.coordinate_descent(docs, y, ratio, cost, rounds=3000)
+    x = np.zeros((30, 13))
+    for row, d in zip(x, docs):
+        row[d], row[12] = ratio[d], 1
+    value = lambda v: v @ v / 2 + (cost * np.maximum(0, 1 - y * (x @ v))).sum()
+    q, alpha = (x * y[:, None]) @ (x * y[:, None]).T, np.zeros(30)
+    for _ in range(20_000):
+        alpha = np.clip(alpha - (q @ alpha - 1) / np.linalg.norm(q, 2), 0, cost)
+    assert value(np.r_[w, b]) == pytest.approx(value((alpha * y) @ x), rel=2e-3)
+
+
 def test_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     docs = [np.unique(rng.integers(0, 20, 6)) + (0 if i % 2 else 20) for i in range(60)]
@@ -96,6 +156,16 @@ def reached(rows, width, percent):
     return {i: len(s) for i, s in sets.items()}, {i: root(i) for i in sets}
 
 
+def test_sketch_loses_next_to_nothing():
+    """Chance that a pair of similarity 0.8 lies too far apart by its sketch, and that it misses all tables."""
+    from math import comb
+
+    bits = minhash_dedup.SKETCH
+    assert sum(comb(bits, k) * 0.1**k * 0.9 ** (bits - k) for k in range(minhash_dedup.FAR + 1, bits + 1)) < 3e-6
+    miss = (1 - 0.8**minhash_dedup.HALF) ** minhash_dedup.TABLES
+    assert 2 * miss - miss * miss < 8e-5
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_minhash_dedup(docs, rows, empty, width):
     got = minhash_dedup.near_duplicates(docs.withColumn("set", F.lit(1)).withColumn("n", F.lit("x")), width=width).collect()
@@ -113,7 +183,8 @@ def test_minhash_dedup(docs, rows, empty, width):
 def test_minhash_blocks(spark, monkeypatch):
     """Crowded tables and large components go through blocks; the result stays that of all pairs."""
     monkeypatch.setattr(minhash_dedup, "LARGE", 4)
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 24)
+    monkeypatch.setattr(minhash_dedup, "STEP", 8)
     rng = random.Random(9)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     rows = []
@@ -242,7 +313,6 @@ def test_packing_round_trip(docs, rows, empty):
     import public_tokenizers
 
     bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    bpe.encode_special_tokens = True
     got = packing.pack_documents(docs, length=128, group_docs=64).collect()
     ids = {r[0]: np.array([*bpe.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4") for r in rows}
     copies, found, sequences = Counter(r[0] for r in rows), Counter(), defaultdict(list)
@@ -261,17 +331,24 @@ def test_packing_round_trip(docs, rows, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
-def test_units_cross_no_pretoken():
+def test_pieces_cross_no_pretoken(monkeypatch):
+    """Ids are those of the vocabulary's own tokenizer, its added token included, wherever long texts are cut."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    monkeypatch.setattr(tokens, "STEP", 6)
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     enc, rng = tokens.encoder(tokens.default_path()), random.Random(6)
     for _ in range(3000):
         t = "".join(rng.choice(["a", "B", "é", "1", " ", "  ", "\n", "\t", "'s", "'", ".", " ", " ", "日", "\x1c", "<|endoftext|>"]) for _ in range(rng.randint(0, 40)))
-        assert enc.ids(t) == b"".join(i.to_bytes(4, "little") for i in enc.bpe.encode_ordinary(t))
+        assert enc.ids(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() and enc.count(t) == len(enc.ids(t)) // 4
 
 
 def test_token_counts_follow_edits(spark, docs, rows, empty):
     enc = tokens.encoder(tokens.default_path())
-    count = lambda t: len(enc.bpe.encode_ordinary(t or ""))
-    state = token_counts.build(docs)
+    count = lambda t: enc.count(t or "")
+    state = token_counts.build(docs.withColumn("counts", F.lit("clash")).withColumn("n_encoded", F.lit("clash")))
     edits = spark.createDataFrame([(3, 2, 5, 3, "new words "), (3, 1, 0, 0, "First "), (206, 1, 90_000, 400, " \n"), (206, 2, -5, 10**9, None), (201, 1, 4, 1, "text"), (200, 1, 0, 0, "was null")], "doc_id long, seq long, start long, removed long, inserted string")
     got = token_counts.apply_edits(token_counts.attach(state, edits)).collect()
     assert len(got) == len(rows) and all(r["n_tokens"] == count(r["text"]) for r in got)
@@ -287,10 +364,32 @@ def test_edits_touch_little():
     text = prose(rng, "en", 20_000)
     tree = token_counts.Tree.build(text, enc)
     for _ in range(60):
-        a, gone, new = rng.randint(0, len(text)), rng.choice([0, 1, 5, 700]), rng.choice(["", " ", "\n x", "word", " two words "])
+        a, gone, new = rng.randint(0, len(text)), rng.choice([0, 1, 5, 700]), rng.choice(["", " ", "\n x", "word", " two words ", prose(rng, "de", 300)])
         text, again = tree.edit(text, a, gone, new, enc)
-        assert again < 8 * token_counts.LEAF
-        assert tree.counts[1] == len(enc.bpe.encode_ordinary(text)) and tree.chars[1] == len(text)
+        assert again < len(new) + 8 * token_counts.LEAF
+        assert tree.counts[1] == enc.count(text) and tree.chars[1] == len(text)
+
+
+@pytest.mark.parametrize("parts", [["日", "本", "語", "。", "、"], ["abc", "12", "-", ":x", "Q"]])
+def test_texts_without_spaces_have_leaves(parts):
+    enc, rng = tokens.encoder(tokens.default_path()), random.Random(12)
+    text = "".join(rng.choice(parts) for _ in range(60_000))
+    tree = token_counts.Tree.build(text, enc)
+    new, again = tree.edit(text, 30_000, 3, parts[0] * 5, enc)
+    assert again < 8 * token_counts.LEAF and tree.counts[1] == enc.count(new)
+
+
+def test_cuts_follow_any_edit(monkeypatch):
+    """Small leaves, edits of all kinds next to their borders, and the added token made and broken by edits."""
+    monkeypatch.setattr(token_counts, "LEAF", 8)
+    enc, rng = tokens.encoder(tokens.default_path()), random.Random(13)
+    bits = ["a", "B", "é", "1", " ", "  ", "\n", "'s", "'", ".", "-", "日", "。", "<|endoftext|>", "<|", "endoftext", "|>", "12", "abc"]
+    for _ in range(150):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 120)))
+        tree = token_counts.Tree.build(text, enc)
+        for _ in range(8):
+            text, _ = tree.edit(text, rng.randint(-2, len(text) + 2), rng.choice([0, 0, 1, 5, 30]), "".join(rng.choice(bits) for _ in range(rng.choice([0, 1, 3, 40]))), enc)
+            assert tree.counts[1] == enc.count(text) and tree.chars[1] == len(text)
 
 
 PERSONAL = [

@@ -8,7 +8,7 @@ from llm import embedding_dedup, graph, html_text
 
 
 def truth(rows, over):
-    """Links of each row and smallest id reached, by comparing all pairs."""
+    """Links of each row and smallest id reached, by comparing all pairs; rows by their place."""
     n, links, top = len(rows), [0] * len(rows), list(range(len(rows)))
     unit = []
     for i, e, label in rows:
@@ -26,9 +26,9 @@ def truth(rows, over):
             if unit[a] is not None and unit[b] is not None and rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= over:
                 links[a] += 1
                 links[b] += 1
-                x, y = sorted((root(a), root(b)), key=lambda k: rows[k][0])
+                x, y = sorted((root(a), root(b)), key=lambda k: (rows[k][0] is None, rows[k][0]))
                 top[y] = x
-    return {rows[k][0]: (links[k], rows[root(k)][0]) for k in range(n)}
+    return sorted(((rows[k][0], links[k], rows[root(k)][0], rows[k][0] == rows[root(k)][0]) for k in range(n)), key=repr)
 
 
 @pytest.mark.parametrize("shard", [16, 4096])
@@ -40,9 +40,11 @@ def test_embeddings(spark, shard):
         x = base[rng.integers(40)] + rng.normal(size=12) * rng.choice([0, 0.1, 0.3])
         rows.append((i, np.float32(x).tolist(), int(rng.integers(3)) if i % 17 else None))
     rows += [(300, None, 1), (301, [0.0] * 12, 1), (302, [None] + [1.0] * 11, 1), (303, [float("nan")] * 12, 1), (304, [float("inf")] + [1.0] * 11, 1), (305, [1.0, 2.0], 1), (306, [2.0, 4.0], 1), (307, [], 1), (308, [1e-30] * 12, 2), (309, [1e30] * 12, 2)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.link(df, shard_rows=shard).collect()}
-    assert got == truth(rows, 0.93)
+    rows += [(None, rows[1][1], rows[1][2]), (None, [1.0, -1.0], 7), (None, [2.0, -2.0], 7), rows[2], (2, rows[5][1], rows[5][2]), (310, None, None)]
+    rows += [(400 + k, rows[3][1], rows[3][2]) for k in range(40)]  # a common vector
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, embedding array<float>, label int, id int, h string")
+    got = embedding_dedup.link(df, shard_rows=shard).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == truth(rows, 0.93)
     assert embedding_dedup.link(df.limit(0)).count() == 0
 
 
@@ -51,13 +53,30 @@ def test_graph_recall():
     x = rng.normal(size=(1500, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     g = embedding_dedup.Graph(x)
-    a, b, _ = embedding_dedup.audited(g, x, x, 0.8, 64, 64)
-    assert len(set(zip(a, b))) >= 0.97 * (x @ x.T >= 0.8).sum()
+    a, b, _, known, found = embedding_dedup.audited(g, x, x, 0.8, 64, 64)
+    assert len(set(zip(a, b))) >= 0.97 * (x @ x.T >= 0.8).sum() and 64 <= found <= known
 
 
-def test_components(spark):
+def test_audit_queries_have_links():
+    x = np.eye(30)
+    assert ((embedding_dedup.planted(x, 0.93, 50) @ x.T >= 0.93).sum(1) == 1).all()
+
+
+def test_shards_are_sent_as_they_are():
+    rng = np.random.default_rng(6)
+    raw = rng.normal(size=(300, 8)).astype(np.float32)
+    x = embedding_dedup._unit(raw)
+    g = embedding_dedup.Graph(x)
+    ids, many, y, h = embedding_dedup._received(embedding_dedup._sent(np.arange(300), np.ones(300, int), raw, g))
+    assert (x == y).all() and all((a == b).all() for a, b in zip(g.next, h.next)) and (g.entry, g.top) == (h.entry, h.top)
+
+
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_components(spark, monkeypatch, small):
+    """Chains, random links and hubs at either end of the ids, with and without dealing hubs to several tasks."""
+    monkeypatch.setattr(graph, "SMALL", small)
     rng = random.Random(8)
-    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 380)]
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 380)] + [(999, k) for k in range(400, 480)] + [(500, k) for k in range(501, 590)]
     top = {k: k for e in links for k in e}
 
     def root(k):
