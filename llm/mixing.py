@@ -8,13 +8,16 @@
 3. Splitting tree.  The quota of blocks of every source is divided among the output shards: each node of a binary tree over
    the shards draws, from a multivariate hypergeometric distribution, how many blocks of each source its left half gets.
    Quotas are kept exactly, shards have equal numbers of blocks, and each shard draws its own disjoint run of the order.
-4. Rows go to their shards and are shuffled there by hash.
+4. Rows go to their shards, each partition of the output to one of them, and are shuffled there by hash.
 
-Only counts come to the driver: a row for each source, and one for each of at most ``max_blocks`` blocks of a source.
+Only counts come to the driver: a row for each source, and one for each block, of which a source has ``max_blocks`` at most
+and all sources together ``all_blocks``, or one each if there are more sources than that.
 
 Defined results for odd input: a null source is a source of its own, last in order; a null or blank text has size 0 and
-follows its block; an empty table gives an empty result.  Everything depends on ``seed``, ids and texts alone, so reruns
-agree, in whatever order rows are read.  Rows equal in id and text stay together.  Extra columns pass through, unless they
+follows its block; an empty table gives an empty result.  Texts of any length are read whole; a document longer than what is
+left of a target is taken or not, whichever comes nearer.  Everything depends on ``seed``, ids and texts alone, so reruns
+agree, in whatever order rows are read.  Rows equal in id, text and source stay together and count as one document that is so
+many times as long, so where they are many a target is met within half their size.  Extra columns pass through, unless they
 bear the name of an added one, which then replaces them.
 """
 
@@ -28,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import WS, materialize, table
+from llm.common import materialize, spare, table, words
 
 #: More rows than this of (source, block) are joined by shuffle instead of broadcast; a row has under 100 bytes.
 BROADCAST_ROWS = 200_000
@@ -37,7 +40,7 @@ SUB = 1024
 
 def size_of(text: Column) -> Column:
     """Words of a text; null has none."""
-    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WS}]+"), "")).cast("long")
+    return F.size(words(text)).cast("long")
 
 
 def targets(sizes: list[int], weights: list[float], share: float, max_epochs: float) -> list[float]:
@@ -81,7 +84,10 @@ def _near(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
-def assign(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, shards: int = 64, block_rows: int = 256, max_blocks: int = 1024, seed: int = 42) -> DataFrame:
+def assign(
+    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, shards: int = 64,
+    block_rows: int = 256, max_blocks: int = 1024, all_blocks: int = 100_000, seed: int = 42,
+) -> DataFrame:
     """``docs`` plus ``size``, ``source_size``, ``target`` and ``shards``, the output shard of each copy that the mix takes."""
     spark = docs.sparkSession
     added = ("size", "source_size", "target", "shards")
@@ -93,9 +99,9 @@ def assign(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
     source = slim.groupBy("_key").agg(F.count("*").alias("n"), F.sum("size").alias("words")).collect()  # a row for each source
     source = sorted(source, key=lambda r: (r["_key"] == "n", r["_key"]))
     place = {r["_key"]: i for i, r in enumerate(source)}
-    words = [r["words"] for r in source]
-    goal = targets(words, [weights[i % len(weights)] for i in range(len(source))], share, max_epochs)
-    blocks = [max(1, min(max_blocks, math.ceil(r["n"] / block_rows))) for r in source]
+    held_words = [r["words"] for r in source]
+    goal = targets(held_words, [weights[i % len(weights)] for i in range(len(source))], share, max_epochs)
+    blocks = [max(1, min(max_blocks, all_blocks // len(source), math.ceil(r["n"] / block_rows))) for r in source]
     about = _rows(spark, [{"_key": r["_key"], "_nb": b, "_sid": i, "source_size": r["words"], "target": g} for i, (r, b, g) in enumerate(zip(source, blocks, goal))], "_key:string,_nb:bigint,_sid:int,source_size:bigint,target:double")
 
     def blocked(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -110,8 +116,8 @@ def assign(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
     order = [[int(b) for b in rng.permutation(n)] for n in blocks]
     whole, taken, edge = [], [], {}
     for i, g in enumerate(goal):
-        full, got = int(g // words[i]) if words[i] else 0, []
-        rest = g - full * words[i]
+        full, got = int(g // held_words[i]) if held_words[i] else 0, []
+        rest = g - full * held_words[i]
         for b in order[i] if rest >= 1 else ():  # less than a word can't be filled, not even by documents without words
             if held[i].get(b, 0) > rest:
                 edge[i] = (b, rest)
@@ -161,12 +167,26 @@ def assign(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float
     return rows.join(_near(mapped, len(plan)), ["_sid", "_block"], "left").select(*docs.columns, "size", "source_size", "target", F.coalesce(F.transform(got, lambda c: c["s"]), F.array().cast("array<int>")).alias("shards"))
 
 
-def mix(docs: DataFrame, seed: int = 42, shards: int = 64, **options) -> DataFrame:
-    """The mixed rows: each copy that is taken, with the columns of ``docs``, grouped by shard and shuffled within it."""
-    columns = docs.columns
-    out = assign(docs, shards=shards, seed=seed, **options).select(*columns, F.posexplode("shards").alias("_copy", "_shard"))
-    return out.repartition(shards, "_shard", F.pmod(F.xxhash64("doc_id", "text", "_copy"), F.lit(16))).sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "doc_id", "_copy")).select(*columns)
+def mix(docs: DataFrame, seed: int = 42, shards: int = 64, shard: str | None = "shard", part_rows: int = 100_000, **options) -> DataFrame:
+    """The mixed rows: each copy that is taken, with the columns of ``docs`` and its shard's number in column ``shard`` (None:
+    without).  Every partition holds rows of one shard only, in hash order; a shard has a partition for each ``part_rows``
+    rows it can hold at most."""
+    copies = options.get("max_epochs", 2.0) * docs.count()
+    parts = max(1, math.ceil(copies / shards / part_rows))
+    columns = [c for c in docs.columns if c != shard]
+    at, copy = spare("_shard", docs.columns), spare("_copy", docs.columns)
+    out = assign(docs, shards=shards, seed=seed, **options).select(*columns, F.posexplode("shards").alias(copy, at))
+    order = F.xxhash64(F.lit(seed), "doc_id", "text", copy)
+    placed = out.repartitionById(shards * parts, (F.col(at) * parts + F.pmod(order, F.lit(parts))).cast("int"))
+    return placed.sortWithinPartitions(order, "doc_id", "text", copy).select(*columns, *([F.col(at).alias(shard)] if shard else []))
+
+
+def write_mix(docs: DataFrame, path: str, **options) -> None:
+    """The mix as Parquet below ``path``, a folder ``shard=...`` for each shard."""
+    mix(docs, shard="shard", **options).write.partitionBy("shard").parquet(path)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
+    """As the contract says, and in ``shards`` the output shard that the splitting tree gave each copy."""
+    taken = (F.col("size") * F.size("shards")).cast("long")
+    return assign(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "shards")

@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from llm.common import bounded_sample
 from llm import language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules, token_counts, tokens
 from tests.llm.conftest import DOCS, prose
@@ -31,14 +30,6 @@ def test_language_id(spark, docs, empty):
     assert {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
 
 
-def test_short_documents_stay_in_the_pipeline(spark, docs, rows):
-    """One word is enough to stay; only what has no letters goes."""
-    short = [(1000 + i, t, None, "s0", 0) for i, t in enumerate(["Avec.", "De.", "Re.", "a", "Qwkz", "Mentmentan.", "12 !!", "", None])]
-    got = corpus_pipeline.keep_languages(spark, docs.union(spark.createDataFrame(short, DOCS)), "")
-    assert got.columns == docs.columns
-    assert sorted(r["doc_id"] for r in got.collect() if r["doc_id"] is not None) == sorted(r[0] for r in [*rows, *short] if r[0] is not None and r[1] and any(map(str.isalpha, r[1])))
-
-
 def test_language_kernel_is_that_of_sets():
     seen = np.zeros(len(language_id.SIZES) << 16, dtype=bool)
     grams = []
@@ -272,9 +263,39 @@ def test_mixing(docs, rows, empty):
         longest[r["source"]] = max(longest[r["source"]], r["size"])
     for s in sources:
         assert abs(taken[s] - goal[s]) <= longest[s]
-    mixed = mixing.mix(docs, shards=5)
-    assert mixed.columns == docs.columns and mixed.count() == sum(len(r[4]) for r in got)
-    assert mixing.assign(empty).count() == 0
+    assert mixing.assign(empty).count() == 0 == mixing.mix(empty).count()
+
+
+def test_mix_is_dealt_to_shards(spark, docs, rows, tmp_path):
+    """Each copy lies in the shard that the tree gave it, and a partition in one shard; quotas of blocks are met in the output."""
+    given = Counter()
+    for r in mixing.assign(docs, shards=5, block_rows=4).collect():
+        given.update((repr(r["doc_id"]), r["source"], s) for s in r["shards"])
+    mixed = mixing.mix(docs.withColumn("_copy", F.lit(1)), shards=5, block_rows=4, part_rows=20)
+    assert mixed.columns == [*docs.columns, "_copy", "shard"] and mixing.mix(docs, shard=None).columns == docs.columns
+    got = mixed.withColumn("at", F.spark_partition_id()).collect()
+    assert Counter((repr(r["doc_id"]), r["source"], r["shard"]) for r in got) == given
+    where = defaultdict(set)
+    for r in got:
+        where[r["at"]].add(r["shard"])
+    assert all(len(s) == 1 for s in where.values()) and len(where) > 5 and {r["shard"] for r in got} == set(range(5))
+    many = Counter(r["shard"] for r in got)
+    assert max(many.values()) - min(many.values()) <= 40
+    mixing.write_mix(docs, str(tmp_path / "mix"), shards=5, block_rows=4)
+    again = spark.read.parquet(str(tmp_path / "mix"))
+    assert Counter(r["shard"] for r in again.select("shard").collect()) == many
+
+
+def test_repeated_rows_move_together(spark):
+    """A row repeated a thousand times is taken as one long document; its target is met within half of that."""
+    rows = [(i, "one two three", "en", "a", 0) for i in range(50)] + [(7, "four five", "en", "a", 0)] * 1000 + [(100 + i, "six " * 9, "en", "b", 0) for i in range(900)]
+    got = mixing.assign(spark.createDataFrame(rows, DOCS)).collect()
+    taken = Counter()
+    for r in got:
+        taken[r["source"]] += r["size"] * len(r["shards"])
+    goal = {r["source"]: r["target"] for r in got}
+    assert abs(taken["a"] - goal["a"]) <= 1000 and abs(taken["b"] - goal["b"]) <= 9
+    assert len({len(r["shards"]) for r in got if r["doc_id"] == 7 and r["size"] == 2}) == 1
 
 
 @pytest.mark.parametrize("quotas", [[0, 0], [5], [100, 3, 0, 41], [1, 1, 1]])
