@@ -9,33 +9,70 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import language_id, minhash_dedup, mixing, packing, pii
-from llm.common import held_out, materialize, table
+from llm.common import held_out, materialize, remove, spare, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without letters go.  The score of a short text is low in any language, so it isn't asked."""
+    """Documents in a learned language; those without letters go.  The score of a short text is low in any language, so it isn't asked.
+
+    Null, empty and blank texts have no letters.  Texts of any length are read whole; ties don't matter, repeated rows have
+    equal results, extra columns pass through.  Where no row has both a text with letters and a language, nothing can be
+    learned, so nothing is rejected.  An empty table gives an empty result."""
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
-    return language_id.predict(docs, model).where(F.col("lang_pred") != "und").select(*docs.columns)
+    if model is None:
+        return docs
+    plain = [c for c in docs.columns if c not in ("lang_pred", "score")]  # clashing columns wait beside
+    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c not in plain}
+    judged = language_id.predict(docs.withColumnsRenamed(beside), model).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
+    return judged.withColumnsRenamed({v: k for k, v in beside.items()}).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; shingles of five words."""
-    gone = minhash_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates, that with the smallest id; shingles of five words.
+
+    Rows are compared as such, whatever their ids: of rows equal in id and text one stays, rows that share an id stay if their
+    texts differ, rows without an id take part and stay only if no row of their group has one.  Among equal ids the first
+    row as written stays.  Null, empty and blank texts have no shingles and are kept, each of them.  Texts of any length are
+    read whole, extra columns pass through, and an empty table gives an empty result."""
+    row = spare("row_", docs.columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = minhash_dedup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = materialize(found.where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "groups")
+    several = groups.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1").select("component_id")
+    member = materialize(groups.join(several, "component_id").join(rows.select(row, "doc_id"), row), "members")
+    best = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("m")).select(f"m.{row}")
+    gone = materialize(member.select(row).join(best, row, "left_anti"), "gone")
+    remove(groups, member)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data; ``n_chars`` follows the new text."""
-    return pii.replace(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, with surrogates for personal data; ``n_chars`` follows the new text, and is null without one.
+
+    The key is that of ``spark.llm.pii.key``.  Null and empty texts stay as they are, texts of any length are read whole,
+    repeated rows have equal results, extra columns pass through, and an empty table gives an empty result."""
+    key = spark.conf.get("spark.llm.pii.key", pii.TEST_KEY)
+    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c in ("n_entities", "kinds")}
+    new = pii.replace(docs.withColumnsRenamed(beside), key).drop("n_entities", "kinds").withColumnsRenamed({v: k for k, v in beside.items()})
+    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: documents as often as the mix takes them, by shard and shuffled there."""
-    return mixing.mix(docs)
+    """The mixture: documents as often as the mix takes them, each partition of one output shard and shuffled there.
+
+    A null source is one of its own.  Null and empty texts have size 0 and follow their block; repeated rows move together;
+    extra columns pass through, save ones named like those the operator adds; an empty table gives an empty result."""
+    added = ("size", "source_size", "target", "shards")
+    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c in added}
+    mixed = mixing.mix(docs.withColumnsRenamed(beside), shard=None)
+    return mixed.withColumnsRenamed({v: k for k, v in beside.items()}).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
+    """The pieces of all sequences.
+
+    Null and empty texts are documents of the end id alone, texts of any length are cut, each row counts, repeated or not,
+    extra columns are ignored, and an empty table gives an empty result."""
     return packing.pack_documents(docs)
 
 
@@ -47,13 +84,15 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Kernels, hashes, surrogates and draws aren't SQL; tests hold the stages against brute force.
+#: Kernels, hashes, surrogates and draws aren't SQL; tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of ``documents``; what a stage wrote goes once the next one has read it."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        remove(*([last] if last is not None else []))
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
