@@ -11,8 +11,10 @@ Text: character references are decoded, white space inside a block becomes one s
 order by a line break; a line break element counts as white space.  Scripts, styles, comments and the head never count.
 
 Defined results for odd input: a null or empty html gives an empty text, as does a page without main text; malformed markup
-is read like a browser does it (implied and missing end tags, stray signs).  Pages are read whole.  Repeated rows give
-repeated results, an empty table an empty one.  Extra columns are ignored.
+is read like a browser does it (implied and missing end tags, stray signs).  Pages are read whole, in time that grows with
+their length however they are marked up; a very large page fills memory with a few hundred bytes an element.  Of labellings
+equally likely the one that drops an element is taken.  Repeated rows give repeated results, an empty table an empty one.
+Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,11 +39,73 @@ NEVER = frozenset("head script style title noscript template iframe textarea sel
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 CLOSES_P = BLOCK - frozenset("body html td th tr tbody thead tfoot caption".split())
 TAGS = ("html", "body", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "p", "h1", "h2", "h3", "h4", "ul", "ol", "li", "a", "span", "b", "i", "em", "strong", "table", "tr", "td", "th", "blockquote", "pre", "code", "figure", "figcaption", "label", "input", "dl", "dt", "dd", "img")
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]+|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
+#: A tag without a < inside; others take the long way of ``Tags``.
+PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)((?:[^\"'<>]+|\"[^\"<]*\"|'[^'<]*')*+)>")
+NAME_END, SIGN = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
+class Tags:
+    """The markup of a page in order, by one pass: what a failed search for a tag's end has seen is not searched again."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = {c: source.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()  # quotes from which no > outside quotes is found
+        self.name_end = 0
+
+    def _end(self, at: int) -> int:
+        """Place of the > that ends a tag, from ``at`` outside quotes; -1 if there is none.  A quote without a partner is a plain sign."""
+        met = []
+        while at <= self.last[">"]:
+            q = SIGN.search(self.source, at).start()
+            if self.source[q] == ">":
+                return q
+            if q in self.dead:
+                break
+            met.append(q)
+            at = (self.source.index(self.source[q], q + 1) if q < self.last[self.source[q]] else q) + 1
+        self.dead.update(met)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Of the first markup from ``at`` on: start, end, slash, name and attributes; no name for comments and declarations."""
+        source = self.source
+        while (lt := source.find("<", at)) >= 0:
+            if m := PLAIN.match(source, lt):
+                return lt, m.end(), m[1], m[2].lower(), m[3]
+            at = lt + 1
+            if source.startswith("<!--", lt):
+                end = source.find("-->", lt + 4)
+                return lt, end + 3 if end >= 0 else len(source), "", "", ""
+            if lt > self.last[">"]:
+                continue
+            if source[at : at + 1] in ("!", "?"):
+                return lt, source.index(">", lt) + 1, "", "", ""
+            slash = source[at : at + 1] == "/"
+            first = source[at + slash : at + slash + 1]
+            if not (first.isascii() and first.isalpha()):
+                continue
+            if self.name_end <= at + slash:
+                self.name_end = NAME_END.search(source, at + slash).start()
+            if (end := self._end(self.name_end)) >= 0:
+                return lt, end + 1, "/" * slash, source[at + slash : self.name_end].lower(), source[self.name_end : end]
+        return None
+
+
+SCOPE = frozenset("table td th button body html article section div aside nav main blockquote".split())
+#: What a start tag ends: names, and the elements that no search goes past.
+ENDS = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    **dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl",))),
+    **dict.fromkeys(("td", "th"), (("td", "th"), ("tr", "table"))),
+    "tr": (("tr",), ("table", "tbody", "thead", "tfoot")),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (("tbody", "thead", "tfoot"), ("table",))),
+    "option": (("option",), ("select",)),
+}
+
+
 class Page:
     """The elements of one page in order, and its text and block boundaries as events."""
 
@@ -51,74 +115,76 @@ class Page:
         self.depth: list[int] = []
         self.marks: list[tuple[str, ...]] = []
         self.events: list[tuple[int, str | None]] = []  # element and its text; None for a boundary
+        self.stack: list[int] = []
+        self.places: dict[str, list[int]] = {}  # of open elements in the stack, by name
         self._read(source)
 
-    def _open(self, name: str, attributes: str, stack: list[int]) -> int:
+    def _open(self, name: str, attributes: str) -> int:
         self.tag.append(name)
-        self.parent.append(stack[-1] if stack else -1)
-        self.depth.append(len(stack))
+        self.parent.append(self.stack[-1] if self.stack else -1)
+        self.depth.append(len(self.stack))
         self.marks.append(tuple(t for _, v in ATTRIBUTE.findall(attributes) for t in re.split(r"[^a-z]+", v.lower()) if t) if attributes else ())
         if name in BLOCK:
             self.events.append((len(self.tag) - 1, None))
         return len(self.tag) - 1
 
-    def _close(self, names: tuple[str, ...] | frozenset, stack: list[int], stop: frozenset) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in names:
-                if any(self.tag[e] in BLOCK for e in stack[k:]):
-                    self.events.append((stack[k], None))
-                del stack[k:]
-                return
-            if self.tag[stack[k]] in stop:
-                return
+    def _push(self, node: int) -> None:
+        self.places.setdefault(self.tag[node], []).append(len(self.stack))
+        self.stack.append(node)
+
+    def _last(self, names) -> int:
+        """Place in the stack of the last open element of ``names``, the root apart; 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def _close(self, names, stop=()) -> None:
+        """End the last open element of ``names`` and all in it, unless one of ``stop`` lies in between."""
+        k = self._last(names)
+        if not k or k < self._last(stop):
+            return
+        ended = self.stack[k:]
+        if any(self.tag[e] in BLOCK for e in ended):
+            self.events.append((self.stack[k], None))
+        del self.stack[k:]
+        for e in ended:
+            self.places[self.tag[e]].pop()
 
     def _read(self, source: str) -> None:
-        stack, at, never = [self._open("html", "", [])], 0, frozenset()
-        scope = frozenset(("table", "td", "th", "button", "body", "html", "article", "section", "div", "aside", "nav", "main", "blockquote"))
+        self._push(self._open("html", ""))
+        tags, at = Tags(source), 0
         while True:
-            m = MARKUP.search(source, at)
-            text = source[at : m.start() if m else len(source)]
+            m = tags.next(at)
+            text = source[at : m[0] if m else len(source)]
             if text:
-                self.events.append((stack[-1], text))
+                self.events.append((self.stack[-1], text))
             if not m:
                 return
-            at, name = m.end(), (m[2] or "").lower()
+            _, at, slash, name, attributes = m
             if not name:
                 continue
-            if m[1]:
+            if slash:
                 if name not in ("html", "body"):
-                    self._close((name,), stack, never)
+                    self._close((name,))
                 continue
             if name in ("html", "body"):
                 if name == "body":
-                    self._close(("head",), stack, never)
+                    self._close(("head",))
                 continue
             if name in CLOSES_P:
-                self._close(("p",), stack, scope)
-            if name == "li":
-                self._close(("li",), stack, frozenset(("ul", "ol", "menu")))
-            elif name in ("dt", "dd"):
-                self._close(("dt", "dd"), stack, frozenset(("dl",)))
-            elif name in ("td", "th"):
-                self._close(("td", "th"), stack, frozenset(("tr", "table")))
-            elif name == "tr":
-                self._close(("tr",), stack, frozenset(("table", "tbody", "thead", "tfoot")))
-            elif name in ("tbody", "thead", "tfoot"):
-                self._close(("tbody", "thead", "tfoot"), stack, frozenset(("table",)))
-            elif name == "option":
-                self._close(("option",), stack, frozenset(("select",)))
+                self._close(("p",), SCOPE)
+            if name in ENDS:
+                self._close(*ENDS[name])
             if name == "br" or name == "wbr":
-                self.events.append((stack[-1], " " if name == "br" else ""))
+                self.events.append((self.stack[-1], " " if name == "br" else ""))
                 continue
-            node = self._open(name, m[3], stack)
-            if name in VOID or m[3].endswith("/") and name in ("path", "use", "circle", "rect"):
+            node = self._open(name, attributes)
+            if name in VOID or attributes.endswith("/") and name in ("path", "use", "circle", "rect"):
                 continue
             if name in RAW:
                 end = re.compile(f"</{name}[\\s/>]", re.I).search(source, at)
                 at = source.find(">", end.start()) + 1 if end else len(source)
                 at = at or len(source)
                 continue
-            stack.append(node)
+            self._push(node)
 
     def text(self, kept: np.ndarray) -> str:
         """The text of the kept elements, block by block."""
@@ -176,40 +242,61 @@ class Nodes:
             np.add.at(x, self.parent[level], x[level])
         return x
 
-    def features(self, vocabulary: dict[str, int]) -> np.ndarray:
+    def _prepare(self, vocabulary: dict[str, int]) -> None:
+        """What ``rows`` needs: numbers of each element, and what it lies in."""
         n, places = len(self.tag), {t: i for i, t in enumerate(TAGS)}
-        tag = np.array([places.get(t, len(TAGS)) for t in self.tag])
-        tags = np.zeros((n, len(TAGS) + 1), dtype=np.float32)
-        tags[np.arange(n), tag] = 1
+        tag = self.tags = np.array([places.get(t, len(TAGS)) for t in self.tag], dtype=np.int32)
         link = np.where((tag == places["a"])[:, None], self.up(self.own)[:, :1], 0)
         is_tag = lambda *names: np.isin(tag, [places[t] for t in names]).astype(float)[:, None]
-        sums = self.up(np.concatenate([self.own, link, np.ones((n, 1)), is_tag("a"), is_tag("p"), is_tag("li"), is_tag("input", "label", "form"), is_tag("h1", "h2", "h3", "h4")], 1))
+        groups = (("a",), ("p",), ("li",), ("input", "label", "form"), ("h1", "h2", "h3", "h4"))
+        sums = self.up(np.concatenate([self.own, link, np.ones((n, 1)), *[is_tag(*g) for g in groups]], 1))
         chars, size = np.maximum(sums[:, 0], 1), sums[:, 5]
         children = np.bincount(self.parent[self.parent >= 0], minlength=n)
         page = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
         all_chars = np.maximum(sums[self.start[:-1], 0][page], 1)
-        above = np.maximum(self.parent, 0)
+        above = self.above = np.maximum(self.parent, 0)
         sibling, same = np.zeros(n), {}
         count: dict[int, int] = {}
         for i, (p, t) in enumerate(zip(self.parent.tolist(), tag.tolist())):
             sibling[i] = count[p] = count.get(p, -1) + 1
             same[p, t] = same.get((p, t), 0) + 1
         alike = np.array([same[k] for k in zip(self.parent.tolist(), tag.tolist())])
-        tokens = np.zeros((n, len(vocabulary) + 1), dtype=np.float32)
+        own_chars, words, stops, pieces = self.own[:, 0], sums[:, 1], sums[:, 2], sums[:, 3]
+        columns = [np.log1p(sums[:, 0]), np.log1p(own_chars), sums[:, 4] / chars, stops / np.maximum(words, 1), words / np.maximum(pieces, 1)]
+        columns += [chars / size, np.log1p(size), *[sums[:, k] for k in range(6, 11)], sums[:, 0] / all_chars, self.before, self.depth, sibling]
+        columns += [children[above], children, alike, sums[above, 0] / all_chars, sums[above, 4] / chars[above], np.log1p((sums[above, 0] - sums[:, 0]).clip(0))]
+        self.numbers = np.stack([c.astype(np.float32) for c in columns], 1)
+        roles = [places[t] for t in ("nav", "header", "footer", "aside", "form", "article", "main", "ul", "table")]
+        inside = self.inside = np.zeros((n, len(roles) + len(vocabulary) + 1), dtype=bool)
+        for k, t in enumerate(roles):
+            inside[:, k] = tag == t
         for i, m in enumerate(self.marks):
             for t in m:
-                tokens[i, vocabulary.get(t, len(vocabulary))] += 1
-        inside = np.concatenate([tags[:, [places[t] for t in ("nav", "header", "footer", "aside", "form", "article", "main", "ul", "table")]], (tokens > 0)], 1)
+                inside[i, len(roles) + vocabulary.get(t, len(vocabulary))] = True
         for level in self.levels[1:]:
-            inside[level] = np.maximum(inside[level], inside[self.parent[level]])
-        numbers = np.stack([np.log1p(sums[:, 0]), np.log1p(self.own[:, 0]), sums[:, 4] / chars, sums[:, 2] / np.maximum(sums[:, 1], 1), sums[:, 1] / np.maximum(sums[:, 3], 1), chars / size, np.log1p(size), sums[:, 6], sums[:, 7], sums[:, 8], sums[:, 9], sums[:, 10], sums[:, 0] / all_chars, self.before, self.depth, sibling, children[above], children, alike, sums[above, 0] / all_chars, sums[above, 4] / chars[above], np.log1p((sums[above, 0] - sums[:, 0]).clip(0))], 1)
-        return np.concatenate([numbers.astype(np.float32), tags, tags[above], tokens, inside], 1)
+            inside[level] |= inside[self.parent[level]]
+
+    def _rows(self, lo: int, hi: int, vocabulary: dict[str, int]) -> np.ndarray:
+        tokens = np.zeros((hi - lo, len(vocabulary) + 1), dtype=np.float32)
+        for i, m in enumerate(self.marks[lo:hi]):
+            for t in m:
+                tokens[i, vocabulary.get(t, len(vocabulary))] += 1
+        one = np.eye(len(TAGS) + 1, dtype=np.float32)
+        return np.concatenate([self.numbers[lo:hi], one[self.tags[lo:hi]], one[self.tags[self.above[lo:hi]]], tokens, self.inside[lo:hi]], 1)
+
+    def slices(self, vocabulary: dict[str, int], step: int = 8192) -> Iterator[tuple[int, np.ndarray]]:
+        """Features of the elements, ``step`` at a time, with the place of the first."""
+        self._prepare(vocabulary)
+        for lo in range(0, len(self.tag), step):
+            yield lo, self._rows(lo, min(lo + step, len(self.tag)), vocabulary)
+
+    def features(self, vocabulary: dict[str, int]) -> np.ndarray:
+        return np.concatenate([x for _, x in self.slices(vocabulary)])
 
     def decode(self, chance: np.ndarray) -> np.ndarray:
         """The likeliest labels under which no element below a dropped one is kept; the root of a page always is."""
         p = np.clip(chance, 1e-4, 1 - 1e-4)
-        drop, keep = self.up(np.log(1 - p)), np.log(p)
-        drop[self.never], keep[self.never] = 0.0, -1e9
+        keep, drop = np.where(self.never, -1e9, np.log(p)), self.up(np.where(self.never, 0.0, np.log(1 - p)))
         for level in self.levels[:0:-1]:
             np.add.at(keep, self.parent[level], np.maximum(keep[level], drop[level]))
         kept = keep > drop
@@ -305,8 +392,8 @@ def extract(sources: list[str | None], fitted: tuple[trees.Boosted, dict[str, in
         return []
     nodes = Nodes(pages)
     chance = np.zeros(len(nodes.tag))
-    use = ~nodes.never
-    chance[use] = boosted.chance(nodes.features(vocabulary)[use])
+    for lo, x in nodes.slices(vocabulary):
+        chance[lo : lo + len(x)] = boosted.chance(x)
     kept = nodes.decode(chance)
     return [p.text(kept[s:]) for p, s in zip(pages, nodes.start)]
 

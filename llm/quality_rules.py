@@ -182,5 +182,47 @@ def apply(docs: DataFrame, min_words: int = 50, min_chars: int = 200, max_char_d
     )
 
 
+def oracle_sql(min_words: int = 50, min_chars: int = 200, max_char_distance: float = 0.3, max_word_share: float = 0.9) -> str:
+    """The rows of ``op9_quality_rules`` in DuckDB SQL."""
+    listed = ", ".join(f"({k}, '{w}')" for k, w in enumerate(_word_list()))
+    langs = ", ".join(f"'{x}'" for x in COMMON_WORDS)
+    term = lambda p, q: f"(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END)"
+    names = [f"k{i}" for i in range(len(CLASSES))]
+    return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+ w AS MATERIALIZED (SELECT *, regexp_extract_all(t, '[^{WS}]+') AS ws, regexp_replace(t, '[{WS}]+', '', 'g') AS c0,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{WS}]')) AS ls FROM d),
+ g1 AS (SELECT rid, regexp_replace(c0, '\p{{Ll}}+', '', 'g') AS c FROM w), g2 AS (SELECT rid, regexp_replace(c, '\p{{L}}+', '', 'g') AS c FROM g1),
+ g3 AS (SELECT rid, regexp_replace(c, '\p{{N}}+', '', 'g') AS c FROM g2), g4 AS (SELECT rid, regexp_replace(c, '[^\P{{P}}#*%&]+', '', 'g') AS c FROM g3),
+ k AS (SELECT rid, length(c0) - length(g1.c) AS k0, length(g1.c) - length(g2.c) AS k1, length(g2.c) - length(g3.c) AS k2, length(g3.c) - length(g4.c) AS k3, length(g4.c) AS k4
+  FROM w JOIN g1 USING (rid) JOIN g2 USING (rid) JOIN g3 USING (rid) JOIN g4 USING (rid)),
+ win AS (SELECT rid, unnest(list_transform(range(1, greatest(1, len(ws) - 6)), lambda i: {{'i': i, 'g': array_to_string(ws[i:i + 7], ' ')}})) AS x FROM w),
+ rep AS (SELECT rid, x.i AS i FROM win QUALIFY count(*) OVER (PARTITION BY rid, x.g) > 1),
+ cov AS (SELECT rid, least(8, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 8)) AS n FROM rep), covered AS (SELECT rid, sum(n)::BIGINT AS n FROM cov GROUP BY rid),
+ f AS MATERIALIZED (SELECT w.rid, doc_id, lang, len(ws)::BIGINT AS n_words, length(c0)::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, k.* EXCLUDE (rid)
+  FROM w JOIN k USING (rid) LEFT JOIN covered USING (rid)),
+ list(k, word) AS (VALUES {listed}), said AS (SELECT rid, unnest(list_transform(ws, lambda x: lower(x))) AS word FROM w),
+ common AS MATERIALIZED (SELECT rid, k, count(*) AS n FROM said JOIN list USING (word) GROUP BY ALL),
+ good AS (SELECT * FROM f WHERE lang IN ({langs}) AND n_words >= {min_words} AND word_chars >= {min_chars}),
+ means AS (SELECT lang, count(*) AS docs, {', '.join(f'avg({x} / word_chars) AS q_{x}' for x in names)} FROM good GROUP BY lang),
+ q AS MATERIALIZED (SELECT lang, c.k, sum(c.n / n_words) / any_value(docs) AS q FROM good JOIN common c USING (rid) JOIN means USING (lang) GROUP BY lang, c.k),
+ ref AS MATERIALIZED (SELECT means.*, coalesce((SELECT sum(q) FROM q WHERE q.lang = means.lang), 0) AS s FROM means),
+ far AS (SELECT lang, CASE WHEN s > 0 THEN sqrt(greatest(0, (s + log2(2 / (1 + greatest(0, 1 - s))) + CASE WHEN s < 1 THEN (1 - s) * log2(2 * (1 - s) / (2 - s)) ELSE 0 END) / 2)) END AS far FROM ref),
+ long AS (SELECT * FROM f WHERE n_words >= {min_words} AND word_chars >= {min_chars}),
+ seen AS (SELECT l.rid, r.lang, sum({term('(c.n / n_words)', 'coalesce(q.q, 0)')}) AS d, sum(coalesce(q.q, 0)) AS q, sum(c.n / n_words) AS p
+  FROM long l JOIN common c USING (rid) CROSS JOIN ref r LEFT JOIN q ON q.lang = r.lang AND q.k = c.k GROUP BY ALL),
+ dist AS (SELECT l.rid, r.lang, sqrt(greatest(0, ({' + '.join(term(f'({x} / word_chars)', f'q_{x}') for x in names)}) / 2)) AS c,
+  sqrt(greatest(0, (coalesce(seen.d, 0) + r.s - coalesce(seen.q, 0) + {term('(1 - coalesce(seen.p, 0))', 'greatest(0, 1 - r.s)')}) / 2)) AS w
+  FROM long l CROSS JOIN ref r LEFT JOIN seen ON seen.rid = l.rid AND seen.lang = r.lang),
+ near AS (SELECT rid, min(c) AS c, min(w) AS w, coalesce(bool_and(w > {max_word_share} * far) FILTER (WHERE far IS NOT NULL), FALSE) AS few FROM dist JOIN far USING (lang) GROUP BY rid),
+ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f LEFT JOIN near USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND coalesce(c, 0) <= {max_char_distance} AND NOT (coalesce(few, FALSE) AND (lang IS NULL OR lang IN ({langs}))) AS kept, round(c, 6) AS char_distance, round(w, 6) AS word_distance FROM b"""
+
+
+ORACLE_SQL = oracle_sql()
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply(table(spark, sf_dir, "documents"))
+    rounded = {c: F.round(c, 6) for c in ("char_distance", "word_distance")}
+    return apply(table(spark, sf_dir, "documents")).withColumns(rounded)

@@ -19,4 +19,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op3_minhash_dedup": minhash_dedup.ORACLE_SQL,
     "op8_embedding_dedup": embedding_dedup.ORACLE_SQL,
+    "op9_quality_rules": quality_rules.ORACLE_SQL,
 }

@@ -5,12 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from llm.common import bounded_sample
-from llm import language_id, minhash_dedup, mixing, packing, pii, quality_classifier, quality_rules, token_counts, tokens
+from llm import language_id, minhash_dedup, mixing, packing, quality_classifier, quality_rules, registry, token_counts, tokens
 from tests.llm.conftest import DOCS, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -244,6 +245,29 @@ def test_word_salad_is_rejected(spark):
     assert all(r["kept"] for r in quality_rules.apply(spark.createDataFrame(odd[:1], DOCS)).collect())  # its own reference has no common words
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_sql(spark, name):
+    """Queries against their SQL, on the smallest tables."""
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    got, want = registry.QUERIES[name](spark, "/root/testdata/sf0.001"), con.execute(registry.ORACLE_SQL[name]).df()
+    names = sorted(want.columns)
+    assert sorted(got.columns) == names
+    cell = lambda v: None if v is None or v != v else round(v, 5) if isinstance(v, float) else v
+    rows = lambda df: sorted((tuple(map(cell, r)) for r in df[names].itertuples(index=False, name=None)), key=repr)
+    assert rows(got.toPandas()) == rows(want)
+
+
+def test_rules_sql_on_odd_rows(spark, docs):
+    extra = [(300, "x y\n\nx y\n#% <| É 12.", "en", "s", 0), (301, "Ab, cd! " * 40, None, "s", 0), (302, "ab 12 " * 99, "xx", "s", 0)]
+    frame = docs.union(spark.createDataFrame(extra, DOCS))
+    odd = frame.toArrow()  # noqa: F841
+    want = duckdb.sql(quality_rules.ORACLE_SQL.replace("FROM documents", "FROM odd")).fetchall()
+    cell = lambda v: round(round(v, 6), 5) if isinstance(v, float) else v
+    assert sorted((tuple(map(cell, r)) for r in quality_rules.apply(frame).collect()), key=repr) == sorted((tuple(map(cell, r)) for r in want), key=repr)
+
+
 def test_mixing(docs, rows, empty):
     frame = docs.withColumn("target", F.lit("clash"))
     first, again = mixing.assign(frame), mixing.assign(frame.repartition(7))

@@ -1,10 +1,12 @@
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from llm import embedding_dedup, graph, html_text
+from llm import embedding_dedup, graph, html_text, trees
 
 
 def truth(rows, over):
@@ -129,8 +131,65 @@ def test_nothing_below_a_dropped_element_is_kept():
         assert not (kept[inner] & ~kept[nodes.parent[inner]]).any()
 
 
+def test_decoding_is_the_likeliest_labelling():
+    """Against all labellings of small trees under which nothing below a dropped element is kept, the root always being kept."""
+    rng = random.Random(6)
+    for _ in range(60):
+        n = rng.randint(1, 9)
+        page = html_text.Page("".join(rng.choice(["<div>", "<b>", "</div>", "</b>", "<script>x</script>", "text"]) for _ in range(n)))
+        nodes = html_text.Nodes([page])
+        m = len(nodes.tag)
+        chance = np.array([rng.choice([0.1, 0.3, 0.6, 0.9, 0.99]) for _ in range(m)])
+        best, most = None, -np.inf
+        for bits in itertools.product([False, True], repeat=m):
+            if not bits[0] or any(k and (not bits[p] or nodes.never[i]) for i, (k, p) in enumerate(zip(bits, nodes.parent)) if i):
+                continue
+            value = sum(np.log(c if k else 1 - c) for i, (k, c) in enumerate(zip(bits, chance)) if i and not nodes.never[i])
+            if value > most + 1e-9:
+                best, most = bits, value
+        got = nodes.decode(chance)
+        assert got[0] and sum(np.log(c if k else 1 - c) for i, (k, c) in enumerate(zip(got, chance)) if i and not nodes.never[i]) == pytest.approx(most), (page.tag, best, got)
+
+
+def test_first_split_is_the_best_of_all():
+    """A tree of one split against every feature and bound, by Newton gain."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        x = rng.integers(0, 6, (40, 3)).astype(float)
+        y = (x[:, rng.integers(3)] > rng.integers(1, 5)).astype(float)
+        y[rng.integers(0, 40, 5)] = 1 - y[rng.integers(0, 40, 5)]
+        p = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+        g, h = y - p, p * (1 - p)
+        gain = lambda m: g[m].sum() ** 2 / (h * m.sum() + 1) + g[~m].sum() ** 2 / (h * (~m).sum() + 1)
+        best = max(gain(x[:, j] > b) for j in range(3) for b in range(6) if 0.75 <= h * (x[:, j] > b).sum() and 0.75 <= h * (x[:, j] <= b).sum())
+        (feature, bound, leaf), = trees.fit(x, y, rounds=1, depth=1, bins=64).trees
+        right = x[:, feature[0]] > bound[0]
+        assert gain(right) == pytest.approx(best)
+        assert leaf[1] == pytest.approx(0.3 * g[right].sum() / (h * right.sum() + 1))
+
+
+@pytest.mark.parametrize("unit, rest", [('<b x="', ""), ("<div>", "</x>"), ('<a ">" ', ""), ("<a", ' ">"'), ("<b>", ""), ("<!", ""), ("<span>", "<dd></dd>"), ("<", ""), ("<p>one, two.", "")])
+def test_parsing_takes_linear_time(unit, rest):
+    def seconds(n):
+        best = 9.0
+        for _ in range(3):
+            began = time.process_time()
+            html_text.Page("<dl><dt><dl>" + unit * n + rest * n)
+            best = min(best, time.process_time() - began)
+        return best
+
+    assert seconds(32_000) < 0.05 + 9 * seconds(8_000)
+
+
+def test_very_long_page():
+    article = "<article>" + "".join(f"<p>Part {i} of it is here, with some words more.</p>" for i in range(20_000)) + "</article>"
+    got = html_text.extract(["<nav><a href='/'>Home</a></nav>" + article + "<footer>&copy; x</footer>"], html_text.model())[0]
+    assert got.count("\n") == 19_999 and got.startswith("Part 0 of it") and "Home" not in got
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE), (2, None, None), (None, "v", ""), (1, "u", PAGE)]
-    got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
-    assert len(got) == 4 and all(r["n_chars"] == len(r["text"]) for r in got)
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, n_chars int, text string")
+    got = html_text.extract_pages(frame).collect()
+    assert len(got) == 4 and len(set(map(tuple, got))) == 3 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_text.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
