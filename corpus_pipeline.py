@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import language_id, minhash_dedup, mixing, packing, pii
-from llm.common import held_out, materialize, remove, spare, table
+from llm.common import held_out, hot_keys, materialize, remove, spare, spread_join, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +38,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = minhash_dedup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
     groups = materialize(found.where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "groups")
-    several = groups.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1").select("component_id")
-    member = materialize(groups.join(several, "component_id").join(rows.select(row, "doc_id"), row), "members")
+    several = materialize(groups.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1"), "several")
+    hot = hot_keys(several, ["component_id"], "c", groups.count())  # a large group goes to several tasks
+    inside = spread_join(groups, several.select("component_id"), ["component_id"], hot)
+    member = materialize(inside.join(rows.select(row, "doc_id"), row), "members")
     best = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("m")).select(f"m.{row}")
     gone = materialize(member.select(row).join(best, row, "left_anti"), "gone")
-    remove(groups, member)
+    remove(groups, several, member)
     return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
