@@ -197,7 +197,7 @@ def _compare(queries: list, members: list, percent: int, far: int, parent: dict[
     sets, own = ([np.frombuffer(m["set"], np.uint64) for m in x] for x in (members, queries))
     both = _overlaps(own, sets)
     for i, q in enumerate(queries):
-        apart = np.bitwise_count(bits ^ np.array([q["s"], q["t"]], dtype=np.int64)).sum(1)
+        apart = np.bitwise_count((bits ^ np.array([q["s"], q["t"]], dtype=np.int64)).view(np.uint64)).sum(1)  # of signed numbers it takes the absolute
         fit = (apart <= far) & (100 * np.minimum(size, q["n"]) >= percent * np.maximum(size, q["n"]))
         if both is not None:
             fit &= 100 * both[i] >= percent * (size + q["n"] - both[i])
