@@ -2,53 +2,92 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
-def band_subset(records: DataFrame, group: str, target: int, low: int, high: int) -> DataFrame:
-    """``records`` (``group``, ``id``, ``density``, ``ord``) kept in each group.
+@dataclass
+class _Group:
+    """What the driver knows of a group: its picks' densities in order, their sum, and how far swapping has come."""
+
+    picks: list
+    total: float
+    swapped: int = 0
+    dropped: int = 0
+    last: float | None = None  # the density gone through last, and how many rows of it
+    seen: int = 0
+    added: dict = field(default_factory=dict)
+    done: bool = False
+
+    def thin(self, high: float) -> None:
+        while self.total > high and len(self.picks) - self.dropped > 1:
+            self.dropped += 1
+            self.total -= self.picks[-self.dropped]
+
+    def room(self, high: float) -> float:
+        """The greatest density that the next pick can be swapped for; it never grows."""
+        return high - self.total + self.picks[self.swapped]
+
+    def swap(self, others: list, low: float, high: float) -> None:
+        """Go through more densities of others, the densest first."""
+        for v in others:
+            if self.total >= low or self.swapped >= len(self.picks) - self.dropped or v <= self.picks[self.swapped]:
+                self.done = True
+                return
+            self.seen = self.seen + 1 if v == self.last else 1
+            self.last = v
+            if v <= self.room(high):
+                self.total += v - self.picks[self.swapped]
+                self.swapped += 1
+                self.added[v] = self.added.get(v, 0) + 1
+        self.done = self.total >= low or self.swapped >= len(self.picks) - self.dropped
+
+
+def band_subset(records: DataFrame, group: str, target: int, low: float, high: float) -> DataFrame:
+    """``records`` (``group``, ``id``, ``density``, ``ord``) kept in each group; rows without a group are a group of their own.
 
     The ``target`` least dense come first.  If their sum is over ``high``, the densest of them go until it isn't.  If it is
     under ``low``, picks from the least dense on are swapped for the densest others, skipping those that would overshoot,
     until the band is reached or nothing denser is left.  A group of ``target`` or fewer stays whole.
 
-    The driver gets the picks' densities, at most ``target`` a group, and how many others have each density; swaps are
-    found there.  Rows are ranked within a group's picks and within a density, each rank limited to ``target``."""
-    order = [F.col("density"), F.col("ord")]
-    picks = records.withColumn("_k", F.row_number().over(W.partitionBy(group).orderBy(*order))).where(F.col("_k") <= target)
-    rest = records.join(picks.select(group, "id"), [group, "id"], "left_anti")
-    has = {r[group]: {x["density"]: x["count"] for x in r["h"]} for r in rest.groupBy(group, "density").count().groupBy(group).agg(F.collect_list(F.struct("density", "count")).alias("h")).collect()}
-    plan = []
-    for r in picks.groupBy(group).agg(F.sort_array(F.collect_list("density")).alias("s")).collect():
-        sel, others = list(r["s"]), has.get(r[group])
-        total, swaps, cut = sum(sel), {}, 0
-        if not others:
-            plan.append((r[group], 0, len(sel), []))
-            continue
-        while total > high and len(sel) - cut > 1:
-            cut += 1
-            total -= sel[-cut]
-        i, live = 0, True
-        for v in sorted(others, reverse=True):
-            left = others[v]
-            while live and left and total < low and i < len(sel) - cut:
-                if v <= sel[i]:
-                    live = False
-                elif total - sel[i] + v > high:
-                    break
-                else:
-                    total, i, left = total - sel[i] + v, i + 1, left - 1
-                    swaps[v] = swaps.get(v, 0) + 1
-        plan.append((r[group], i, len(sel) - cut, sorted(swaps.items())))
+    The driver gets the picks' densities and, in passes, the ``target`` densest others that can still be swapped in: at most
+    a few times ``target`` numbers a group.  A group's rows are ranked up to those numbers only, never sorted as a whole."""
+    g, kind = F.col(group), dict(records.dtypes)
     spark = records.sparkSession
-    kind = dict(records.dtypes)
-    known = spark.createDataFrame([(g, a, b) for g, a, b, _ in plan], f"{group} {kind[group]}, _from int, _to int")
-    added = spark.createDataFrame([(g, v, n) for g, _, _, s in plan for v, n in s], f"{group} {kind[group]}, density {kind['density']}, _n int")
+    rank = lambda *order: F.row_number().over(W.partitionBy(group).orderBy(*order))
+    picks = records.withColumn("_k", rank("density", "ord")).where(F.col("_k") <= target)
+    found = {r[group]: _Group(list(r["s"]), sum(r["s"])) for r in picks.groupBy(group).agg(F.sort_array(F.collect_list("density")).alias("s")).collect()}
+    sizes = {r[group]: r["n"] for r in records.groupBy(group).agg(F.count("*").alias("n")).collect()}
+    for key, x in found.items():
+        if sizes[key] <= target:
+            x.done = True
+        else:
+            x.thin(high)
+            x.done = x.total >= low
+    # The others are the rows after the last pick in order.
+    edge = F.broadcast(picks.groupBy(g.alias("_g")).agg(F.max(F.struct("density", "ord")).alias("_edge")))
+    rest = records.join(edge, g.eqNullSafe(F.col("_g"))).where(F.struct("density", "ord") > F.col("_edge")).drop("_g", "_edge")
+    while active := {k: x for k, x in found.items() if not x.done}:
+        ask = [(k, float(x.room(high) if x.last is None else min(x.room(high), x.last)), x.seen) for k, x in active.items()]
+        asked = F.broadcast(spark.createDataFrame(ask, f"_g {kind[group]}, _top double, _skip int"))
+        near = rest.join(asked, g.eqNullSafe(F.col("_g"))).where(F.col("density") <= F.col("_top"))
+        near = near.withColumn("_r", rank(F.desc("density"), F.desc("ord"))).where(F.col("_r") <= target + F.col("_skip")).where(F.col("_r") <= 2 * target + 1)
+        held = {r[group]: sorted(r["s"], reverse=True) for r in near.groupBy(group).agg(F.collect_list("density").alias("s")).collect()}
+        for key, x in active.items():
+            others = held.get(key, [])
+            others = others[min(x.seen, others.count(x.last)) :]
+            x.swap(others, low, high)
+            x.done = x.done or len(others) < target
+    plan = [(k, x.swapped, len(x.picks) - x.dropped) for k, x in found.items()]
+    known = F.broadcast(spark.createDataFrame(plan, f"_g {kind[group]}, _from int, _to int"))
+    swaps = [(k, v, n) for k, x in found.items() for v, n in x.added.items()]
+    added = F.broadcast(spark.createDataFrame(swaps, f"_g {kind[group]}, _v {kind['density']}, _n int"))
     # The densest picks go, of equal ones the first; the least dense are swapped out in order.
-    ranked = picks.withColumn("_d", F.row_number().over(W.partitionBy(group).orderBy(F.desc("density"), "_k")))
-    sizes = picks.groupBy(group).agg(F.count("*").alias("_all"))
-    kept = ranked.join(sizes, group).join(known, group).where((F.col("_k") > F.col("_from")) & (F.col("_d") > F.col("_all") - F.col("_to"))).select(*records.columns)
-    last = rest.withColumn("_r", F.row_number().over(W.partitionBy(group, "density").orderBy(F.desc("ord")))).where(F.col("_r") <= target)
-    return kept.unionByName(last.join(added, [group, "density"]).where(F.col("_r") <= F.col("_n")).select(*records.columns))
+    ranked = picks.withColumn("_d", rank(F.desc("density"), "_k")).withColumn("_all", F.count("*").over(W.partitionBy(group)))
+    kept = ranked.join(known, g.eqNullSafe(F.col("_g"))).where((F.col("_k") > F.col("_from")) & (F.col("_d") > F.col("_all") - F.col("_to")))
+    new = rest.join(added, g.eqNullSafe(F.col("_g")) & (F.col("density") == F.col("_v")))
+    new = new.withColumn("_r", F.row_number().over(W.partitionBy(group, "density").orderBy(F.desc("ord")))).where(F.col("_r") <= F.col("_n"))
+    return kept.select(*records.columns).unionByName(new.select(*records.columns))

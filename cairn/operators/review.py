@@ -27,11 +27,11 @@ def mine(detections: DataFrame, accept: Column, stride: int = 15, least_px: int
     seen = detections.where((F.pmod("frame", F.lit(stride)) == 0) & accept)
     cut = seen.withColumns({"x1": B.clamp(F.col("x1"), F.col("frame_w"), 1), "y1": B.clamp(F.col("y1"), F.col("frame_h"), 1), "x2": B.clamp(F.col("x2"), F.col("frame_w")), "y2": B.clamp(F.col("y2"), F.col("frame_h"))})
     small = (F.col("x2") - F.col("x1") < least_px) | (F.col("y2") - F.col("y1") < least_px)
-    cut = cut.withColumn("_small", small).withColumn("id", F.struct("video", "frame", "seq")).withColumn("ord", F.struct("frame", "seq"))
-    fit = cut.where(~F.col("_small"))
-    lead = S.leaders(fit, S.temporal_edges(fit, t, wait))
-    status = F.when(F.col("_small"), "small").when(F.col("leader") == F.col("id"), "saved").otherwise("temporal")
-    return cut.join(lead, "id", "left").withColumn("status", status).drop("_small", "leader", "ord", "id")
+    cut = cut.withColumn("_small", small).withColumn("ord", F.struct("frame", "seq"))
+    seen_small = cut.where("_small").withColumn("kept", F.lit(None).cast("boolean"))
+    judged = S.temporal_kept(cut.where(~F.col("_small")), t, wait).unionByName(seen_small)
+    status = F.when(F.col("_small"), "small").when(F.col("kept"), "saved").otherwise("temporal")
+    return judged.withColumn("status", status).drop("_small", "kept", "ord")
 
 
 def summary(mined: DataFrame, by: list[str]) -> DataFrame:

@@ -51,7 +51,7 @@ def clean(spark: SparkSession, source: Source, bits: int = 8) -> tuple[DataFrame
     per = kept.groupBy("image_path").agg(F.count("*").alias("n"))
     images = stage(raw.join(per, "image_path", "left").fillna(0, ["n"]).join(image_hashes(spark, source.root).select("image_path", "hash"), "image_path", "left"))
     left = images.where("n > 0").select(F.col("image_path").alias("id"), F.col("image_path").alias("ord"), "hash", "n", "mask", F.col("n").alias("density"))
-    best = S.representatives(left, S.leaders(left, S.hamming_pairs(left, bits)), F.col("n") + 2.0 * F.bit_count("mask"))
+    best = S.representatives(left, S.clusters(left, bits), F.col("n") + 2.0 * F.bit_count("mask"))
     chosen = left.join(best.select(F.col("keep").alias("id")), "id", "left_semi")
     unique = stage(chosen)
     final = unique
@@ -94,7 +94,7 @@ def leakage(spark: SparkSession, root: str, bits: int = 8) -> tuple[DataFrame, D
     order = F.struct(F.when(F.col("split") == "train", 0).when(F.col("split") == "valid", 1).otherwise(2).alias("s"), F.col("image_path").alias("p"))
     items = images.select(F.col("image_path").alias("id"), "split", "sha1", "hash", order.alias("ord"))
     exact = S.duplicate_groups(items, F.col("sha1"), "split").where("splits > 1")
-    return exact, S.cross_split(items, S.leaders(items, S.hamming_pairs(items, bits)))
+    return exact, S.cross_split(items, S.clusters(items, bits))
 
 
 def analyze(spark: SparkSession, root: str) -> dict[str, DataFrame]:

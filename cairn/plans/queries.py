@@ -105,8 +105,8 @@ def reject_category(spark, d):
     return boxes(spark, d).select("cls", B.reject_category(*xywh()).alias("category")).where("category is not null").groupBy("cls", "category").agg(F.count("*").alias("boxes"))
 
 
-@query(f"""WITH {BOXES}, t AS (SELECT unnest(list_filter([CASE WHEN x - w / 2 < -1e-6 THEN 'extends_past_left' END, CASE WHEN x + w / 2 > 1 + 1e-6 THEN 'extends_past_right' END,
- CASE WHEN y - h / 2 < -1e-6 THEN 'extends_past_top' END, CASE WHEN y + h / 2 > 1 + 1e-6 THEN 'extends_past_bottom' END, CASE WHEN w > 1 OR h > 1 THEN 'size_over_one' END], lambda s: s IS NOT NULL)) AS tag
+@query(f"""WITH {BOXES}, t AS (SELECT unnest(list_filter([CASE WHEN w > 1 OR h > 1 THEN 'width_or_height_exceeds_1' END, CASE WHEN x - w / 2 < -1e-6 THEN 'extends_past_left' END,
+ CASE WHEN y - h / 2 < -1e-6 THEN 'extends_past_top' END, CASE WHEN x + w / 2 > 1 + 1e-6 THEN 'extends_past_right' END, CASE WHEN y + h / 2 > 1 + 1e-6 THEN 'extends_past_bottom' END], lambda s: s IS NOT NULL)) AS tag
  FROM boxes WHERE NOT {STRICT}) SELECT tag, count(*)::BIGINT AS boxes FROM t GROUP BY tag""")
 def reject_subtags(spark, d):
     return boxes(spark, d).where(~B.strict_valid(*xywh())).select(F.explode(B.subtags(*xywh())).alias("tag")).groupBy("tag").agg(F.count("*").alias("boxes"))
@@ -229,7 +229,7 @@ LEADERS = f"""{PAIRS}, near AS (SELECT b AS id, list(a) AS earlier FROM pairs GR
 
 def _clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     h = hashes(spark, d)
-    return h, S.leaders(h, S.hamming_pairs(h, BITS))
+    return h, S.clusters(h, BITS)
 
 
 @query(f"WITH {PAIRS} SELECT a, b, distance FROM pairs")
@@ -314,11 +314,11 @@ def band_subset_case_a(spark, d):
 
 
 @query("""WITH RECURSIVE d AS (SELECT lang, doc_id, n_chars // 100 AS density FROM documents), t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY density, doc_id) AS k FROM d),
- arr AS (SELECT lang, list(density ORDER BY k) FILTER (WHERE k <= 50) AS sel, list(density ORDER BY k) FILTER (WHERE k > 50) AS rest FROM t GROUP BY lang),
+ arr AS (SELECT lang, list(density ORDER BY k) FILTER (WHERE k <= 50) AS sel, coalesce(list(density ORDER BY k) FILTER (WHERE k > 50), []) AS rest FROM t GROUP BY lang),
  st(lang, i, j, total) AS (SELECT lang, 0::BIGINT, len(rest)::BIGINT, list_sum(sel)::BIGINT FROM arr UNION ALL
   SELECT s.lang, CASE WHEN s.total - sel[i + 1] + rest[j] <= 1600 THEN i + 1 ELSE i END, j - 1, CASE WHEN s.total - sel[i + 1] + rest[j] <= 1600 THEN s.total - sel[i + 1] + rest[j] ELSE s.total END
-  FROM st s JOIN arr a ON a.lang = s.lang WHERE s.total < 1500 AND i < len(sel) AND j >= 1 AND rest[j] > sel[i + 1])
-SELECT lang, arg_min(total, j)::BIGINT AS total, 50::BIGINT AS kept FROM st GROUP BY lang""")
+  FROM st s JOIN arr a ON a.lang IS NOT DISTINCT FROM s.lang WHERE s.total < 1500 AND i < len(sel) AND j >= 1 AND rest[j] > sel[i + 1])
+SELECT st.lang, arg_min(st.total, j)::BIGINT AS total, any_value(len(sel))::BIGINT AS kept FROM st JOIN arr ON arr.lang IS NOT DISTINCT FROM st.lang GROUP BY st.lang""")
 def band_subset_full(spark, d):
     """50 documents of each language whose densities sum to 1,500 to 1,600, by swapping picks for denser documents."""
     docs = read(spark, d, "documents").select("lang", c("doc_id").alias("id"), F.expr("n_chars div 100").alias("density"), c("doc_id").alias("ord"))
@@ -328,10 +328,10 @@ def band_subset_full(spark, d):
 # --- names, joins ------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, coalesce(source, 'x') || '_' || coalesce(lang, 'x') || '_' || lpad((row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1)::VARCHAR, 6, '0') AS stem FROM documents""")
+@query("""SELECT doc_id, coalesce(source, 'x') || '_' || coalesce(lang, 'x') || '_' || printf('%06d', row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1) AS stem FROM documents""")
 def stage_names(spark, d):
     r = _ranked(read(spark, d, "documents").select("doc_id", "lang", "source"), ["source"], [F.md5(c("doc_id").cast("string")), c("doc_id")])
-    return r.select("doc_id", F.concat(F.coalesce("source", F.lit("x")), F.lit("_"), F.coalesce("lang", F.lit("x")), F.lit("_"), F.lpad((c("k") - 1).cast("string"), 6, "0")).alias("stem"))
+    return r.select("doc_id", F.format_string("%s_%s_%06d", F.coalesce("source", F.lit("x")), F.coalesce("lang", F.lit("x")), c("k") - 1).alias("stem"))
 
 
 @query("""WITH taken AS (SELECT DISTINCT o_custkey AS stem, o_orderkey % 8 AS n FROM orders), free AS (SELECT c_custkey AS stem, unnest(range(0, 9)) AS n FROM customer)
@@ -401,13 +401,14 @@ def clamp_box(spark, d):
     return k.agg(F.count("*").alias("boxes"), F.count_if(small).alias("small"), *[F.sum(n).alias(n) for n in ("x1", "y1", "x2", "y2")])
 
 
-@query(f"""WITH {DETECTIONS}, n AS (SELECT *, row_number() OVER (PARTITION BY video, frame ORDER BY id) - 1 AS k FROM dets)
-SELECT id, 'v' || video || '_f' || lpad(frame::VARCHAR, 9, '0') || '_d' || lpad(k::VARCHAR, 2, '0') || '_c' || lpad(round_even(conf * 100, 0)::INT::VARCHAR, 3, '0') || '.jpg' AS crop, round(frame / 30.0, 3) AS time_sec FROM n""")
+@query(f"""WITH {DETECTIONS}, n AS (SELECT *, row_number() OVER (PARTITION BY video, frame ORDER BY id) - 1 AS k FROM dets WHERE conf >= 0.2)
+SELECT id, 'v' || video || printf('_f%06d_d%02d_c%03d.jpg', frame, k, round_even(conf * 100, 0)::BIGINT) AS crop, round(frame / 30.0, 3) AS time_sec FROM n""")
 def crop_names(spark, d):
+    """Names of the saved detections, which alone are numbered within a frame."""
     k = F.row_number().over(W.partitionBy("video", "frame").orderBy("id")) - 1
-    pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
-    name = F.concat(F.lit("v"), c("video").cast("string"), F.lit("_f"), pad(c("frame"), 9), F.lit("_d"), pad(k, 2), F.lit("_c"), pad(F.rint(c("conf") * 100).cast("int"), 3), F.lit(".jpg"))
-    return detections(spark, d).select("id", name.alias("crop"), F.round(c("frame") / 30.0, 3).alias("time_sec"))
+    saved = detections(spark, d).where("conf >= 0.2")
+    name = B.crop_name(F.concat(F.lit("v"), c("video").cast("string")), c("frame"), k, c("conf"))
+    return saved.select("id", name.alias("crop"), B.time_sec(c("frame"), F.lit(0.0)).alias("time_sec"))
 
 
 BITS_T, COOLDOWN = 1, 200
@@ -421,9 +422,7 @@ SAVED = f"""{DETECTIONS}, seq AS (SELECT *, row_number() OVER (PARTITION BY vide
 
 
 def _temporal(spark: SparkSession, d: str) -> DataFrame:
-    dets = detections(spark, d)
-    lead = S.leaders(dets, S.temporal_edges(dets, BITS_T, COOLDOWN))
-    return dets.join(lead, "id").withColumn("kept", c("id") == c("leader"))
+    return S.temporal_kept(detections(spark, d), BITS_T, COOLDOWN)
 
 
 @query(f"WITH RECURSIVE {SAVED} SELECT video, id FROM walk WHERE kept")
@@ -484,12 +483,12 @@ def review_undo(spark, d):
 # --- grid, confidence, merge ---------------------------------------------------------------------------------------------
 
 
-@query("""WITH n AS (SELECT event_id, 'e' || event_id || '_c' || lpad((event_id % 101)::VARCHAR, 3, '0') || '.jpg' AS name FROM events), m AS (SELECT event_id, round(value / 500, 4) AS conf FROM events WHERE event_id % 3 = 0)
+@query("""WITH n AS (SELECT event_id, 'e' || event_id || '_c' || lpad((event_id % 101)::VARCHAR, 3, '0') || '.jpg' AS name FROM events), m AS (SELECT event_id, round_even(value / 500, 4) AS conf FROM events WHERE event_id % 3 = 0)
 SELECT name, coalesce(conf, try_cast(regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), '_c(\\d+)$', 1) AS DOUBLE) / 100) AS conf FROM n LEFT JOIN m USING (event_id)""")
 def confidence_fallback(spark, d):
     e = read(spark, d, "events")
     name = F.concat(F.lit("e"), c("event_id").cast("string"), F.lit("_c"), F.lpad((c("event_id") % 101).cast("string"), 3, "0"), F.lit(".jpg"))
-    known = e.where("event_id % 3 = 0").select("event_id", F.round(c("value") / 500, 4).alias("conf"))
+    known = e.where("event_id % 3 = 0").select("event_id", F.bround(c("value") / 500, 4).alias("conf"))
     return e.select("event_id", name.alias("name")).join(known, "event_id", "left").select("name", F.coalesce("conf", B.confidence_from_name(c("name"))).alias("conf"))
 
 

@@ -41,7 +41,7 @@ def test_blank_lines_are_skipped(spark, line):
 
 def test_subtags_overlap(spark):
     r = spark.range(1).select(B.subtags(F.lit(0.1), F.lit(0.5), F.lit(0.4), F.lit(1.5)).alias("t"), B.overflow(F.lit(0.1), F.lit(0.5), F.lit(0.4), F.lit(1.5)).alias("o")).first()
-    assert r["t"] == ["extends_past_left", "extends_past_top", "extends_past_bottom", "size_over_one"]
+    assert r["t"] == ["width_or_height_exceeds_1", "extends_past_left", "extends_past_top", "extends_past_bottom"]
     assert r["o"]["left"] == pytest.approx(0.1) and r["o"]["right"] == 0 and r["o"]["bottom"] == pytest.approx(0.25)
 
 

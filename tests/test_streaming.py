@@ -19,5 +19,5 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     batch = spark.createDataFrame(rows, schema).withColumn("ord", F.struct("frame", "id"))
-    lead = S.leaders(batch, S.temporal_edges(batch, 1, 10)).where(F.col("id") == F.col("leader"))
+    lead = S.temporal_kept(batch, 1, 10).where("kept")
     assert sorted(r["id"] for r in spark.table("kept").where("kept").collect()) == sorted(r["id"] for r in lead.collect())
