@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from cairn.functions import boxes as B
 from cairn.operators import similarity as S
+from cairn.plans.scratch import stage
 
 # Words of a review log and the class they export.
 SYNONYMS = {"tank": 0, "t": 0, "0": 0, "armored_vehicle": 1, "armored": 1, "a": 1, "1": 1}
@@ -50,7 +51,7 @@ def export(log: DataFrame, crops: DataFrame, places: list[str]) -> DataFrame:
 
 
 def free_stems(new: DataFrame, taken: DataFrame, prefix: str = "hc_") -> DataFrame:
-    """``new`` (``stem``, ``ord``) with ``name``: prefix and stem, or with the smallest free suffix ``_1``, ``_2``, ... where that is taken.
+    """``new`` (``stem``, ``ord``) with ``name`` (``name_`` if there is one already): prefix and stem, or with the smallest free suffix ``_1``, ``_2``, ... where that is taken.
 
     Equal stems of one batch get free numbers in order.  ``taken`` has the stems in use.  Numbers in use are parsed off the
     taken stems, so free ones follow by rank arithmetic: the k-th free number is found among the first (used + k) ones."""
@@ -63,14 +64,28 @@ def free_stems(new: DataFrame, taken: DataFrame, prefix: str = "hc_") -> DataFra
     used = used.join(many, "_b").groupBy("_b", "m").agg(F.collect_set("n").alias("s"))
     free = used.select("_b", F.posexplode(F.slice(F.array_except(F.sequence(F.lit(0), F.size("s") + F.col("m")), "s"), 1, F.col("m"))).alias("_k", "_n")).withColumn("_k", F.col("_k") + 1)
     out = want.join(free, ["_b", "_k"], "left").withColumn("_n", F.coalesce("_n", F.col("_k") - 1))
-    return out.withColumn("name", F.when(F.col("_n") == 0, F.col("_b")).otherwise(F.concat("_b", F.lit("_"), F.col("_n").cast("string")))).drop("_b", "_k", "_n")
+    free_name = F.when(F.col("_n") == 0, F.col("_b")).otherwise(F.concat("_b", F.lit("_"), F.col("_n").cast("string")))
+    return out.withColumn("name_" if "name" in new.columns else "name", free_name).drop("_b", "_k", "_n")
 
 
-def pages(crops: DataFrame, order: list[Column], rows: int = 10, cols: int = 10, cell: int = 128, pad: int = 4, by: list[str] | None = None) -> DataFrame:
-    """Page, row, column and pixel place of each crop in ``order`` within groups ``by``."""
+def ranked(rows: DataFrame, order: list[Column], by: list[str] | None = None, parts: int = 200) -> DataFrame:
+    """``rows`` with ``_n``, their place from 0 in ``order`` within groups ``by``.
+
+    Without groups rows are dealt to ranges of the order, ranked there, and shifted by what the ranges before hold, so that no
+    task sorts all of them."""
+    if by:
+        return rows.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(*order)) - 1)
+    dealt = stage(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = sizes.withColumn("_before", F.sum("_c").over(W.orderBy("_part")) - F.col("_c")).select("_part", "_before")  # a row a range
+    place = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
+    return dealt.withColumn("_k", place).join(F.broadcast(before), "_part").withColumn("_n", F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
+
+
+def pages(crops: DataFrame, order: list[Column], rows: int = 10, cols: int = 10, cell: int = 128, pad: int = 4, by: list[str] | None = None, text: int = 0) -> DataFrame:
+    """Page, row, column and pixel place of each crop in ``order`` within groups ``by``; ``text`` pixels below each are left free."""
     if rows < 1 or cols < 1:
         raise ValueError("rows and cols must be 1 or more")
-    k = F.row_number().over(W.partitionBy(*(by or [])).orderBy(*order)) - 1
-    n = crops.withColumn("_n", k)
+    n = ranked(crops, order, by)
     at = n.withColumns({"page": F.floor(F.col("_n") / (rows * cols)), "row": F.floor(F.col("_n") % (rows * cols) / cols), "col": (F.col("_n") % cols).cast("long")})
-    return at.withColumns({"x0": F.col("col") * (cell + pad) + pad, "y0": F.col("row") * (cell + pad) + pad}).drop("_n")
+    return at.withColumns({"x0": F.col("col") * (cell + pad) + pad, "y0": F.col("row") * (cell + text + pad) + pad}).drop("_n")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +9,10 @@ from pyspark.sql import functions as F
 
 from cairn.functions import boxes as B
 from cairn.functions.images import perceptual_hash
-from cairn.operators import balance
+from cairn.operators import balance, review
 from cairn.operators import boxes as O
 from cairn.operators import similarity as S
+from cairn.plans import reports
 from cairn.plans.queries import stratified
 from cairn.plans.scratch import stage
 from cairn.sources import files, sinks
@@ -41,7 +41,7 @@ def image_hashes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, source: Source, bits: int = 8) -> tuple[DataFrame, dict[str, int]]:
-    """Boxes kept of a source (``image_path``, ``line_no``, ``cls``, x, y, w, h, ``source``) and its counters."""
+    """Boxes kept of a source (``image_path``, ``line_no``, ``cls``, x, y, w, h) and its counters."""
     lines = files.scan_labels(spark, source.root)
     pairs = stage(files.pair(files.scan_label_files(spark, source.root), files.scan_media(spark, source.root)))
     good = lines.where("error is null").join(pairs.select("label_path", "image_path"), "label_path")
@@ -60,56 +60,80 @@ def clean(spark: SparkSession, source: Source, bits: int = 8) -> tuple[DataFrame
         final = stage(balance.band_subset(ranked, "g", source.target, source.low, source.high).select("id"))
     total = images.agg(F.count("*"), F.count_if(F.col("n") == 0), F.sum(F.col("raw") - F.col("n") - F.col("dropped")), F.count_if(F.col("n") > 0)).first()
     seen, one, many = pairs.count(), unique.count(), final.count()
-    counters = {"pairs_seen": seen, "empty_labels_removed": seen - total[0], "no_boxes_after_remap": total[1], "invalid_boxes_dropped": total[2] or 0, "duplicates_removed": total[3] - one, "subset_removed": one - many, "kept": many}
+    counters = {"pairs_seen": seen, "empty_labels_removed": seen - total[0], "no_boxes_after_remap": total[1], "invalid_boxes_dropped": total[2] or 0, "duplicates_removed": total[3] - one, "subset_removed": one - many, "kept_images": many}
     boxes = kept.join(final.select(F.col("id").alias("image_path")), "image_path", "left_semi")
-    return boxes.select("image_path", "line_no", "cls", "x", "y", "w", "h", F.lit(source.name).alias("source"), F.lit(source.prefix).alias("prefix")), counters
-
-
-def prepare(spark: SparkSession, sources: list[Source], out: str, names: list[str], bits: int = 8, seed: int = 42) -> dict:
-    """Clean every source, split images by dominant class 70/20/10, write labels, a table of images, names and counters below ``out``."""
-    parts, counters = [], {}
+    return boxes.select("image_path", "line_no", "cls", "x", "y", "w", "h"), counters
+
+
+def write_staging(spark: SparkSession, source: Source, boxes: DataFrame, root: str) -> dict[str, int]:
+    """Write the kept images of a source and their labels below ``root/name``, numbered in order of paths, with a manifest; what
+    was there goes first.  Returns instances by class."""
+    folder = f"{root}/{source.name}"
+    sinks.clear(spark, folder)
+    sizes = boxes.groupBy("image_path").agg(F.count("*").alias("instances"))
+    ext = files.extension(F.col("image_path"))
+    known = F.when(ext.isin(*files.IMAGE_EXTENSIONS), ext).otherwise("jpg")
+    stem = F.format_string("%s_%s_%06d", F.lit(source.prefix), files.stem(F.col("image_path")), F.col("_n").cast("long"))
+    named = stage(review.ranked(sizes, [F.col("image_path")]).select("image_path", "instances", stem.alias("stem"), known.alias("ext")))
+    pictures = files.contents(spark, source.root).withColumnRenamed("path", "image_path")
+    image = F.concat("stem", F.lit("."), "ext")
+    sinks.write_files(named.join(pictures, "image_path").select(F.concat(F.lit("images/"), image).alias("path"), "content"), folder)
+    lines = sinks.label_lines(boxes.join(named.select("image_path", "stem"), "image_path").withColumn("split", F.lit("")))
+    sinks.write_files(lines.select(F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("path"), F.col("text").alias("content")), folder)
+    manifest = named.select(image.alias("image"), F.concat("stem", F.lit(".txt")).alias("label"), F.col("image_path").alias("source_image"), "instances")
+    manifest.write.mode("overwrite").json(f"{folder}/manifest")
+    return {str(r["cls"]): r["count"] for r in boxes.groupBy("cls").count().orderBy("cls").collect()}
+
+
+def write_merged(spark: SparkSession, samples: DataFrame, staging: str, out: str) -> dict[str, int]:
+    """Write staged ``samples`` (``split``, ``image_path``, ``label_path``) into ``out/split``; what was there goes first.  Returns
+    instances by class."""
+    sinks.clear(spark, *[f"{out}/{s}/{k}" for s in reports.SPLITS for k in ("images", "labels")])
+    pictures = files.contents(spark, staging).withColumnRenamed("path", "image_path")
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").format("binaryFile").load(staging).select(files._path().alias("label_path"), "content")
+    place = lambda kind, column: F.concat_ws("/", "split", F.lit(kind), F.regexp_extract(column, r"([^/]*)$", 1)).alias("path")
+    sinks.write_files(samples.join(pictures, "image_path").select(place("images", "image_path"), "content"), out)
+    sinks.write_files(samples.join(texts, "label_path").select(place("labels", "label_path"), "content"), out)
+    boxes = files.scan_labels(spark, staging).where("error is null").join(samples.select("label_path"), "label_path", "left_semi")
+    return {str(r["cls"]): r["count"] for r in boxes.groupBy("cls").count().orderBy("cls").collect()}
+
+
+def split_samples(spark: SparkSession, staging: str, seed: int = 42) -> DataFrame:
+    """Staged samples with their ``split``: 70, 20 and 10 percent of the images of every dominant class, -1 for those without a box."""
+    samples = files.staged(spark, staging)
+    boxes = files.scan_labels(spark, staging).where("error is null").withColumnRenamed("label_path", "image")
+    main = O.dominant_class(boxes, F.col("line_no")).select(F.col("image").alias("label_path"), F.col("cls").alias("stratum"))
+    known = samples.join(main, "label_path", "left").withColumn("stratum", F.coalesce("stratum", F.lit(-1)))
+    return stratified(known.withColumn("doc_id", F.col("label_path")), "stratum", seed).drop("doc_id")
+
+
+def prepare(spark: SparkSession, sources: list[Source], out: str, names: list[str], bits: int = 8, seed: int = 42, only: list[str] | None = None) -> dict:
+    """Clean every source (or those of ``only``, the others' staging staying as it is), split all that is staged 70/20/10 by dominant
+    class, write images, labels, names, reports and counters below ``out``."""
+    staging, counters = f"{out}/_staging", {}
     for s in sources:
-        boxes, counters[s.name] = clean(spark, s, bits)
-        parts.append(boxes)
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    union = stage(union)
-    stem = F.concat_ws("_", "prefix", files.stem(F.col("image_path")), F.substring(F.sha1("image_path"), 1, 8))
-    images = O.dominant_class(union.withColumnRenamed("image_path", "image"), F.col("line_no")).select(F.col("image").alias("doc_id"), F.col("cls").alias("stratum"))
-    splits = stage(stratified(images, "stratum", seed).select(F.col("doc_id").alias("image_path"), "split"))
-    labelled = union.join(splits, "image_path").withColumn("stem", stem)
-    sinks.write_labels(labelled, out)
-    labelled.groupBy("split", "stem", "image_path", "source").agg(F.count("*").alias("instances")).write.mode("overwrite").json(f"{out}/_meta/manifest")
-    sinks.distribution_csv(O.distribution(labelled.withColumnRenamed("image_path", "image")), f"{out}/_meta/distribution")
-    spark.createDataFrame([(sinks.names_yaml(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/_meta/names")
-    meta = {"seed": seed, "bits": bits, "sources": counters, "images": {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()}}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/_meta/counters")
+        if only is None or s.name in only:
+            boxes, counters[s.name] = clean(spark, s, bits)
+            counters[s.name]["instances"] = write_staging(spark, s, stage(boxes), staging)
+    samples = stage(split_samples(spark, staging, seed))
+    instances = write_merged(spark, samples, staging, out)
+    sinks.write_text(spark, f"{out}/data.yaml", sinks.names_yaml(names, out))
+    images = {r["split"]: r["count"] for r in samples.groupBy("split").count().collect()}
+    meta = {"staging": staging, "output": out, "seed": seed, "phash_threshold": bits, "per_source": counters, "merged_instances": instances, "images": images}
+    sinks.write_json(spark, f"{out}/_meta/pipeline_metadata.json", meta)
+    reports.merged_distribution(spark, out, names, [s.prefix for s in sources], f"{out}/_meta")
+    reports.final_statistics(spark, out, names, f"{out}/_meta")
     return meta
 
 
-def leakage(spark: SparkSession, root: str, bits: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Groups of equal images and clusters of similar ones that lie in more than one split."""
+def leakage(spark: SparkSession, root: str, bits: int = 8, out: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Groups of equal images and clusters of similar ones that lie in more than one split; with ``out`` a report of their members."""
     images = stage(image_hashes(spark, root))
     order = F.struct(F.when(F.col("split") == "train", 0).when(F.col("split") == "valid", 1).otherwise(2).alias("s"), F.col("image_path").alias("p"))
     items = images.select(F.col("image_path").alias("id"), "split", "sha1", "hash", order.alias("ord"))
     exact = S.duplicate_groups(items, F.col("sha1"), "split").where("splits > 1")
-    return exact, S.cross_split(items, S.clusters(items, bits))
-
-
-def analyze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Health, distribution, size percentiles, rejects and duplicate label files of a folder."""
-    lines = stage(files.scan_labels(spark, root))
-    boxes = lines.where("error is null").withColumnRenamed("label_path", "image")
-    xywh = [F.col(k) for k in "xywh"]
-    labels = files.scan_label_files(spark, root)
-    parsed = lines.groupBy("label_path").agg(F.count("*").alias("lines"))
-    return {
-        "health": O.health(boxes),
-        "errors": lines.where("error is not null").groupBy("split", "error").agg(F.count("*").alias("lines")),
-        "empty": labels.join(parsed, "label_path", "left_anti").groupBy("split").agg(F.count("*").alias("files")),
-        "distribution": O.distribution(boxes),
-        "percentiles": O.percentiles(boxes.where(B.loose_valid(*xywh)), B.area(F.col("w"), F.col("h")), ["split"], [1, 5, 10, 25, 50, 75, 90, 95, 99]),
-        "rejects": boxes.select("split", B.reject_category(*xywh).alias("category")).where("category is not null").groupBy("split", "category").agg(F.count("*").alias("boxes")),
-        "duplicates": S.duplicate_groups(labels.withColumnRenamed("label_path", "id"), F.col("sha1")),
-    }
+    clusters = stage(S.clusters(items, bits))
+    near = S.cross_split(items, clusters)
+    if out:
+        reports.leakage_report(spark, root, items, exact, near, clusters, bits, out)
+    return exact, near

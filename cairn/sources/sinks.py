@@ -1,67 +1,132 @@
-"""Writers of label files, distribution tables, names files and reports; they make new outputs and delete nothing."""
+"""Writers of label files, images, distribution tables, names files and reports; they make new outputs in folders of their own."""
 
 from __future__ import annotations
 
-import os
+import json
+import posixpath
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from cairn.sources.files import _hadoop
+
+
+def six_places(value: Column) -> Column:
+    """A number to six places, the nearest to its exact value, as a label file has it."""
+
+    @F.pandas_udf("string")
+    def of(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: f"{x:.6f}")
+
+    return of(value)
+
 
 def label_lines(boxes: DataFrame) -> DataFrame:
     """``split``, ``stem`` and ``text``: a line of class and four numbers of six places for each box, in order of ``line_no``."""
-    line = F.concat_ws(" ", F.col("cls").cast("string"), *[F.format_string("%.6f", F.col(k)) for k in "xywh"])
-    rows = boxes.groupBy("split", "stem").agg(F.sort_array(F.collect_list(F.struct("line_no", line.alias("line")))).alias("l"))
+    line = F.concat_ws(" ", F.col("cls").cast("string"), *[six_places(F.col(k)) for k in "xywh"])
+    lines = boxes.select("split", "stem", "line_no", line.alias("line"))
+    rows = lines.groupBy("split", "stem").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("l"))  # a file's lines
     return rows.select("split", "stem", F.concat(F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("\n")).alias("text"))
 
 
-class LabelFiles(DataSource):
-    """``df.write.format("label_files").save(folder)`` writes ``folder/split/labels/stem.txt`` on a file system all executors mount."""
+class Files(DataSource):
+    """``df.write.format("named_files").save(folder)`` writes ``content`` to ``folder/path`` for each row, on any file system that
+    executors reach: local paths they all mount, or a URI."""
 
     @classmethod
     def name(cls) -> str:
-        return "label_files"
+        return "named_files"
 
     def schema(self) -> str:
-        return "split string, stem string, text string"
+        return "path string, content binary"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _LabelWriter(self.options["path"].removeprefix("file://"))
+        return _Writer(self.options["path"])
 
 
-class _LabelWriter(DataSourceWriter):
+class _Writer(DataSourceWriter):
     def __init__(self, root: str):
         self.root = root
 
     def write(self, rows) -> WriterCommitMessage:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        files, base = fs.FileSystem.from_uri(self.root) if "://" in self.root else (fs.LocalFileSystem(), self.root)
+        task, made = TaskContext.get().taskAttemptId(), set()
         for r in rows:
-            folder = os.path.join(self.root, r["split"], "labels")
-            os.makedirs(folder, exist_ok=True)
-            part = os.path.join(folder, f".{r['stem']}.{os.getpid()}")
-            with open(part, "w", encoding="utf-8") as f:
-                f.write(r["text"])
-            os.replace(part, os.path.join(folder, f"{r['stem']}.txt"))  # a task that runs again writes the same file
+            path = posixpath.join(base, r["path"])
+            folder, name = posixpath.split(path)
+            if folder not in made:
+                files.create_dir(folder, recursive=True)
+                made.add(folder)
+            part = f"{folder}/.{name}.{task}"
+            with files.open_output_stream(part) as out:
+                out.write(bytes(r["content"] or b""))
+            files.move(part, path)  # a task that runs again writes the same file
         return WriterCommitMessage()
 
 
-def write_labels(boxes: DataFrame, folder: str) -> None:
-    boxes.sparkSession.dataSource.register(LabelFiles)
-    label_lines(boxes).write.format("label_files").mode("append").save(folder)
+def write_files(rows: DataFrame, folder: str) -> None:
+    """Write ``content`` of each row to ``path`` below ``folder``; equal paths are written once, the last of them."""
+    rows.sparkSession.dataSource.register(Files)
+    rows.select("path", F.col("content").cast("binary").alias("content")).write.format("named_files").mode("append").save(folder)
+
+
+def write_labels(boxes: DataFrame, folder: str, files: DataFrame | None = None) -> None:
+    """``folder/split/labels/stem.txt`` of each label; ``files`` (``split``, ``stem``) lists labels that may have no box, which get
+    an empty file."""
+    lines = label_lines(boxes)
+    if files is not None:
+        lines = files.select("split", "stem").distinct().join(lines, ["split", "stem"], "left")
+    path = F.concat_ws("/", "split", F.lit("labels"), F.concat("stem", F.lit(".txt")))
+    write_files(lines.select(path.alias("path"), F.coalesce("text", F.lit("")).alias("content")), folder)
+
+
+def clear(spark: SparkSession, *folders: str) -> None:
+    """Delete output folders that are about to be written anew."""
+    for folder in folders:
+        at, files = _hadoop(spark, folder)
+        files.delete(at, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written by the driver to any file system that Spark knows."""
+    at, files = _hadoop(spark, path)
+    out = files.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def write_json(spark: SparkSession, path: str, value: object) -> None:
+    write_text(spark, path, json.dumps(value, indent=2))
 
 
 def names_yaml(names: list[str], root: str = ".") -> str:
-    lines = [f"path: {root}", "train: train/images", "val: val/images", "test: test/images", f"nc: {len(names)}", "names:"]
-    return "\n".join(lines + [f"  {i}: {n}" for i, n in enumerate(names)]) + "\n"
+    lines = [f"path: {root}", "train: train/images", "val: val/images", "test: test/images", "", f"nc: {len(names)}", f"names: {names}"]
+    return "\n".join(lines) + "\n"
+
+
+def csv_text(header: list[str], rows: list[list]) -> str:
+    """A small table as CSV; None is an empty cell."""
+    cell = lambda v: "" if v is None else f'"{str(v).replace(chr(34), chr(34) * 2)}"' if any(c in str(v) for c in ',"\n\r') else str(v)
+    return "".join(",".join(map(cell, r)) + "\n" for r in [header, *rows])
+
+
+def escape(value: object) -> str:
+    """A cell of a Markdown table."""
+    return "" if value is None else str(value).replace("|", "\\|")
 
 
-def distribution_csv(counts: DataFrame, folder: str) -> None:
-    """Rows by split and class, then TOTAL rows (null split), as one CSV file."""
-    counts.withColumn("split", F.coalesce("split", F.lit("TOTAL"))).orderBy(F.col("split") == "TOTAL", "split", "cls").coalesce(1).write.mode("overwrite").csv(folder, header=True)
+def table(header: list[str], rows: list[list], numbers: int = 0) -> list[str]:
+    """Lines of a Markdown table whose last ``numbers`` columns are aligned right."""
+    marks = ["---"] * (len(header) - numbers) + ["---:"] * numbers
+    return ["| " + " | ".join(header) + " |", "|" + "|".join(marks) + "|", *["| " + " | ".join(map(escape, r)) + " |" for r in rows]]
 
 
-def markdown(title: str, df: DataFrame, most: int = 1000) -> str:
-    """A small aggregate as a Markdown table."""
-    cell = lambda v: "" if v is None else str(v).replace("|", "\\|")
-    rows = df.limit(most).collect()
-    return "\n".join([f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *["| " + " | ".join(map(cell, r)) + " |" for r in rows]]) + "\n"
+def markdown(title: str, df: DataFrame) -> str:
+    """All rows of a small aggregate as a Markdown table, in order of its columns."""
+    rows = [list(r) for r in df.orderBy(*df.columns).toLocalIterator()]
+    return "\n".join([f"# {title}", "", *table(df.columns, rows)]) + "\n"
