@@ -403,8 +403,8 @@ def exceptions(docs: DataFrame, key: str, most: int = 50, syllables: int = 3) ->
         first = now.groupBy("surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("m"), F.count("*").alias("c")).where("c > 1").select("surrogate", "m.*")
         real = known.select(F.col("value").alias("surrogate")).distinct()
         clash = (
-            now.join(first.select("surrogate", F.col("kind").alias("k"), F.col("value").alias("v")), "surrogate").where("kind <> k or value <> v").select("kind", "value")
-            .union(now.join(real, "surrogate", "left_semi").select("kind", "value"))
+            now.join(first.select("surrogate", F.col("kind").alias("k"), F.col("value").alias("v")).hint("merge"), "surrogate").where("kind <> k or value <> v").select("kind", "value")
+            .union(now.join(real.hint("merge"), "surrogate", "left_semi").select("kind", "value"))
             .distinct()
         )
         clash = materialize(clash, "clashes")
