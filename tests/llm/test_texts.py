@@ -172,6 +172,16 @@ def test_minhash_dedup(docs, rows, empty, width):
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
+def test_sketches_differ_by_bits_whatever_their_sign():
+    """Sketches two bits apart, the highest among them, are near; ones 64 bits apart are not, though the sets are equal."""
+    whole = np.arange(50, dtype=np.uint64).tobytes()
+    node = lambda i, s: {"id": i, "comp": i, "n": 50, "s": s, "t": 0, "set": whole}
+    for other, want in ((-(2**63) + 1, [(1, 2)]), (-1, [])):
+        found = []
+        minhash_dedup._compare([node(1, 0)], [node(2, other)], 80, minhash_dedup.FAR, {}, found)
+        assert found == want
+
+
 def test_minhash_blocks(spark, monkeypatch):
     """Crowded tables and large components go through blocks; the result stays that of all pairs."""
     monkeypatch.setattr(minhash_dedup, "LARGE", 4)
