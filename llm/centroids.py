@@ -99,7 +99,7 @@ def kept(rows: DataFrame, size: int = 64) -> DataFrame:
 def _first(rows: DataFrame, k: int, salt: str) -> np.ndarray:
     """The first centroids: the ``k`` vectors with the least hash of their id, by hash and then by components."""
     chosen = rows.withColumn("_h", F.sha2(F.concat(F.lit(salt), F.col("vec_id").cast("string")), 256)).orderBy(F.col("_h").asc_nulls_last(), "embedding").limit(k).collect()
-    return integers(np.array([r["embedding"] for r in chosen], dtype=np.float64).reshape(len(chosen), -1))
+    return integers(np.array([r["embedding"] for r in chosen], dtype=np.float64).reshape(len(chosen), len(chosen[0]["embedding"]) if chosen else 0))
 
 
 def _sums(rows: DataFrame, centroids: np.ndarray, order: np.ndarray) -> DataFrame:

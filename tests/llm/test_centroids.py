@@ -62,7 +62,7 @@ def test_numbers_beyond_64_bits(spark):
 
 
 def test_few_and_none(spark):
-    rows = made(random.Random(4), 1, 64, 1.0)[:1]
+    rows = made(random.Random(4), 5, 64, 1.0)[:1]
     assert got(spark.createDataFrame(rows, VECTORS)) == brute(rows, 8, 10, 64)
     assert got(spark.createDataFrame([], VECTORS)) == []
     assert got(spark.createDataFrame([(1, None, 0, "")], VECTORS)) == []
