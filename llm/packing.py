@@ -22,8 +22,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,22 +119,23 @@ def pack(sizes: list[int], room: int) -> list[list[tuple[int, int, int]]]:
 
 
 def _group(room: int):
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = pdf["ids"].isna().to_numpy()
-        rest = pdf[~whole].sort_values(["doc_id", "start", "length"], kind="stable").reset_index(drop=True)
-        full = pdf[whole]
-        base, at = int(pdf["g"].iloc[0]) << 32, 0
-        rows = []
-        for s, b in enumerate(pack(rest["length"].astype(int).tolist(), room)):
+    def of(pieces: pa.Table) -> pa.Table:
+        """Sequences of a group; ids stay in Arrow, where a null one doesn't change the others."""
+        whole = pc.is_null(pieces["ids"])
+        rest = pieces.filter(pc.invert(whole)).sort_by([(c, "ascending") for c in ("doc_id", "start", "length")])
+        full = pieces.filter(whole)
+        base, starts, ids, rows = pieces["g"][0].as_py() << 32, rest["start"].to_pylist(), rest["ids"], []
+        for s, b in enumerate(pack(rest["length"].to_pylist(), room)):
             at = 0
             for i, first, size in b:
-                ids = rest["ids"].iat[i]
-                rows.append((rest["doc_id"].iat[i], rest["start"].iat[i] + first, size, zlib.crc32(ids[4 * first : 4 * (first + size)]), rest["doc_tokens"].iat[i], base + s, at))
+                rows.append((i, starts[i] + first, size, zlib.crc32(memoryview(ids[i].as_buffer())[4 * first : 4 * (first + size)]), base + s, at))
                 at += size
-        n = (rows[-1][5] - base + 1) if rows else 0
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        alone = pd.DataFrame({"doc_id": full["doc_id"], "start": full["start"], "length": full["length"], "ids_crc32": full["crc"].astype("Int64"), "doc_tokens": full["doc_tokens"], "sequence_id": base + n + np.arange(len(full)), "offset": 0})
-        return pd.concat([pd.DataFrame(rows, columns=names).astype({"ids_crc32": "Int64"}), alone[names]], ignore_index=True)
+        n = (rows[-1][4] - base + 1) if rows else 0
+        i, start, size, crc, sequence, at = (pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6))
+        packed = [rest["doc_id"].take(i), start, size, crc, rest["doc_tokens"].take(i), sequence, at]
+        alone = [full["doc_id"], full["start"], full["length"], full["crc"], full["doc_tokens"], pa.array(base + n + np.arange(len(full))), pa.array(np.zeros(len(full), dtype=np.int64))]
+        names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
+        return pa.concat_tables([pa.table(dict(zip(names, x))) for x in (packed, alone)])
 
     return of
 
@@ -143,7 +144,7 @@ def pack_documents(docs: DataFrame, length: int = 1024, group_docs: int = 2048,
     """A row for each piece: its document, place and size there, checksum of its ids, sequence and place in that."""
     groups = max(1, round(docs.count() / group_docs))
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(path or tokens.default_path(), length, groups, end), "g int, doc_id long, start long, length long, crc long, doc_tokens long, ids binary")
-    return pieces.groupBy("g").applyInPandas(_group(length), SCHEMA)
+    return pieces.groupBy("g").applyInArrow(_group(length), SCHEMA)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -455,7 +455,7 @@ def replace(docs: DataFrame, key: str, broadcast_rows: int = 20_000, syllables:
     ``key`` decides all surrogates; whoever has it can undo the permutations, so it must be kept like a password."""
     if not key:
         raise ValueError("a key is asked for")
-    columns = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
+    columns = [c for c in docs.columns if c.lower() not in ("text", "n_entities", "kinds")]
     moved, syllables = exceptions(docs, key, syllables=syllables)
     rows = docs.select(*columns, docs["text"].cast("string").alias("text"))
     fields = [f for f in rows.schema.fields if f.name != "text"]
@@ -472,7 +472,7 @@ def replace(docs: DataFrame, key: str, broadcast_rows: int = 20_000, syllables:
         often = hot_keys(rows.where(F.col(row).isNotNull()).groupBy(row).agg(F.count("*").alias("c")), [row], "c", rows.count())
         rows = spread_join(rows, moves, [row], often, "left").drop(row)  # a common text goes to several tasks
     new = rows.mapInArrow(_replaced(key, syllables, known, own), schema)
-    return new.select(*[c for c in docs.columns if c not in ("n_entities", "kinds")], "n_entities", "kinds")
+    return new.select(*[c for c in docs.columns if c.lower() not in ("n_entities", "kinds")], "n_entities", "kinds")
 
 
 #: For queries over test tables only; real data needs a secret one.

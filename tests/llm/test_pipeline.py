@@ -15,6 +15,9 @@ from tests.llm.test_texts import WORD, reached
 CLASHES = {"lang_pred": "a", "score": 1, "row_": "b", "component_id": 2, "n_entities": 3, "kinds": "c", "size": "d", "shards": 4, "target": 5, "_copy": "e", "g": 6, "id": 7, "many": 8}
 
 
+OTHERS = "Lang_Pred Score ROW_ Component_Id N_Entities Kinds Size Shards Target Source_Size _sid _nb _block _copies _edge _cut _h _u _key _shard _copy _row _more _part _parts c0 c1 G Start Length".split()
+
+
 @pytest.fixture(scope="module")
 def odd(spark, rows):
     """The odd rows with personal data, more repeated rows, shared ids and rows without an id, and columns with clashing names."""
@@ -41,6 +44,19 @@ def test_stages_keep_columns_and_take_empty_tables(spark, odd, empty, name, stag
     assert none.columns == empty.columns and none.count() == 0
 
 
+@pytest.mark.parametrize("name, stage", pipeline.STAGES)
+def test_stages_take_any_names(spark, odd, name, stage):
+    """Names of other case than the operators', or like those inside them, with values that come through as they are."""
+    df = odd[1].drop("n_chars", *CLASHES).withColumns({c: F.lit(f"mine {i}") for i, c in enumerate(OTHERS)})
+    got = stage(spark, df, "")
+    if stage is not pipeline.pack_sequences:
+        assert got.columns == df.columns
+        for r in got.collect():
+            assert [r[c] for c in OTHERS] == [f"mine {i}" for i in range(len(OTHERS))]
+    plain = stage(spark, odd[1], "")
+    assert got.select("doc_id").exceptAll(plain.select("doc_id")).count() == 0 == plain.select("doc_id").exceptAll(got.select("doc_id")).count()
+
+
 def test_languages(spark, odd):
     rows, df = odd
     letters = [r for r in rows if r[1] and any(map(str.isalpha, r[1]))]
