@@ -12,6 +12,17 @@ from llm import language_id, minhash_dedup, mixing, packing, pii
 from llm.common import held_out, hot_keys, materialize, remove, spare, spread_join, table
 
 
+def set_aside(docs: DataFrame, *known: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but ``known`` called c0, c1, ..., so that they meet no name of an operator; and their own names."""
+    names = {c: c if c.lower() in known else f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()]), {x: c for c, x in names.items()}
+
+
+def brought_back(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``set_aside`` in their order, called as before."""
+    return rows.select(*[F.col(x).alias(c) for x, c in names.items()])
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without letters go.  The score of a short text is low in any language, so it isn't asked.
 
@@ -21,10 +32,9 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
     if model is None:
         return docs
-    plain = [c for c in docs.columns if c not in ("lang_pred", "score")]  # clashing columns wait beside
-    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c not in plain}
-    judged = language_id.predict(docs.withColumnsRenamed(beside), model).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
-    return judged.withColumnsRenamed({v: k for k, v in beside.items()}).select(*docs.columns)
+    rows, names = set_aside(docs, "doc_id", "text")
+    judged = language_id.predict(rows, model).where(F.col("lang_pred") != "und")
+    return brought_back(judged, names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,22 +62,21 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """All documents, with surrogates for personal data; ``n_chars`` follows the new text, and is null without one.
 
     The key is that of ``spark.llm.pii.key``.  Null and empty texts stay as they are, texts of any length are read whole,
-    repeated rows have equal results, extra columns pass through, and an empty table gives an empty result."""
+    repeated rows have equal results, extra columns pass through, whatever their names, a table without ``n_chars`` stays
+    without, and an empty table gives an empty result."""
     key = spark.conf.get("spark.llm.pii.key", pii.TEST_KEY)
-    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c in ("n_entities", "kinds")}
-    new = pii.replace(docs.withColumnsRenamed(beside), key).drop("n_entities", "kinds").withColumnsRenamed({v: k for k, v in beside.items()})
-    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows, names = set_aside(docs, "doc_id", "text")
+    new = brought_back(pii.replace(rows, key), names)
+    counted = [c for c in docs.columns if c.lower() == "n_chars"]
+    return new.withColumns({c: F.length("text").cast(docs.schema[c].dataType) for c in counted}).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: documents as often as the mix takes them, each partition of one output shard and shuffled there.
 
     A null source is one of its own.  Null and empty texts have size 0 and follow their block; repeated rows move together;
-    extra columns pass through, save ones named like those the operator adds; an empty table gives an empty result."""
-    added = ("size", "source_size", "target", "shards")
-    beside = {c: spare(f"{c}_", docs.columns) for c in docs.columns if c in added}
-    mixed = mixing.mix(docs.withColumnsRenamed(beside), shard=None)
-    return mixed.withColumnsRenamed({v: k for k, v in beside.items()}).select(*docs.columns)
+    extra columns pass through, and an empty table gives an empty result."""
+    return mixing.mix(docs, shard=None)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
