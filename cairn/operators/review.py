@@ -50,24 +50,6 @@ def export(log: DataFrame, crops: DataFrame, places: list[str]) -> DataFrame:
     return first.join(best, "crop_file", "left")
 
 
-def free_stems(new: DataFrame, taken: DataFrame, prefix: str = "hc_") -> DataFrame:
-    """``new`` (``stem``, ``ord``) with ``name`` (``name_`` if there is one already): prefix and stem, or with the smallest free suffix ``_1``, ``_2``, ... where that is taken.
-
-    Equal stems of one batch get free numbers in order.  ``taken`` has the stems in use.  Numbers in use are parsed off the
-    taken stems, so free ones follow by rank arithmetic: the k-th free number is found among the first (used + k) ones."""
-    base = F.concat(F.lit(prefix), F.col("stem"))
-    want = new.withColumn("_b", base).withColumn("_k", F.row_number().over(W.partitionBy("_b").orderBy("ord")))
-    number = F.when(F.col("t").rlike(r"_[1-9]\d{0,8}$"), F.regexp_extract("t", r"_(\d+)$", 1).cast("int"))
-    names = taken.select(F.col("stem").alias("t")).distinct()
-    used = names.select(F.explode(F.array_compact(F.array(F.struct(F.col("t").alias("_b"), F.lit(0).alias("n")), F.when(number.isNotNull(), F.struct(F.regexp_replace("t", r"_\d+$", "").alias("_b"), number.alias("n")))))).alias("u")).select("u.*")
-    many = want.groupBy("_b").agg(F.max("_k").alias("m"))
-    used = used.join(many, "_b").groupBy("_b", "m").agg(F.collect_set("n").alias("s"))
-    free = used.select("_b", F.posexplode(F.slice(F.array_except(F.sequence(F.lit(0), F.size("s") + F.col("m")), "s"), 1, F.col("m"))).alias("_k", "_n")).withColumn("_k", F.col("_k") + 1)
-    out = want.join(free, ["_b", "_k"], "left").withColumn("_n", F.coalesce("_n", F.col("_k") - 1))
-    free_name = F.when(F.col("_n") == 0, F.col("_b")).otherwise(F.concat("_b", F.lit("_"), F.col("_n").cast("string")))
-    return out.withColumn("name_" if "name" in new.columns else "name", free_name).drop("_b", "_k", "_n")
-
-
 def ranked(rows: DataFrame, order: list[Column], by: list[str] | None = None, parts: int = 200) -> DataFrame:
     """``rows`` with ``_n``, their place from 0 in ``order`` within groups ``by``.
 

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window as W
 
 from cairn.functions import boxes as B
 from cairn.functions.images import _pixels, montage, perceptual_hash, png
+from cairn.operators import names as names_of
 from cairn.operators import review
 from cairn.operators import similarity as S
 from cairn.plans.scratch import stage
@@ -251,7 +252,7 @@ def merge(spark: SparkSession, exported: str, merged: str, split: str = "train",
     labels = files.listing(spark, f"{exported}/labels", "*.txt", recursive=False).select(F.col("path").alias("label"), files.stem(F.col("path")).alias("stem"))
     both = stage(images.join(labels, "stem", "left"))
     held = files.listing(spark, f"{merged}/{split}/images", recursive=False).union(files.listing(spark, f"{merged}/{split}/labels", recursive=False))
-    named = stage(review.free_stems(both.where("label is not null").withColumn("ord", F.col("name")), held.select(files.stem(F.col("path")).alias("stem")), prefix))
+    named = stage(names_of.free_stems(both.where("label is not null").withColumn("ord", F.col("name")), held.select(files.stem(F.col("path")).alias("stem")), prefix))
     text = spark.read.option("pathGlobFilter", "*.txt").format("binaryFile").load(f"{exported}/labels").select(files._path().alias("label"), "content")
     pictures = files.contents(spark, f"{exported}/images", recursive=False).withColumnRenamed("path", "image")
     new_images = named.join(pictures, "image").select(F.concat(F.lit("images/"), F.col("name_"), F.lit("."), "ext").alias("path"), "content")

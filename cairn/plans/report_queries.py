@@ -7,7 +7,7 @@ from pyspark.sql.window import Window as W
 
 from cairn.functions import boxes as B
 from cairn.operators import boxes as O
-from cairn.operators import review
+from cairn.operators import names, review
 from cairn.operators import similarity as S
 from cairn.plans import hardcases, reports
 from cairn.plans.queries import LINES, _documents, _lines, c, query
@@ -82,11 +82,12 @@ def sampled_groups(spark, d):
     return spark.createDataFrame(rows, "digest string, size long, paths string, more long")
 
 
-CROPS = """crops AS (SELECT event_id, 'crop_' || event_id || '.jpg' AS crop_file, event_id % 97 AS size, event_id % 50 AS hash, CASE WHEN event_id % 4 > 0 THEN round_even(value / 500, 4) END AS confidence FROM events WHERE event_id < 3000)"""
+CROPS = """crops AS (SELECT event_id, 'crop_' || event_id || '.jpg' AS crop_file, event_id % 97 AS size, event_id % 50 AS hash, CASE WHEN event_id % 4 > 0 THEN round_even(value / 500, 4) END AS confidence
+ FROM events)"""
 
 
 def _crops(spark, d):
-    e = read(spark, d, "events").where("event_id < 3000")
+    e = read(spark, d, "events")
     return e.select("event_id", F.concat(F.lit("crop_"), c("event_id").cast("string"), F.lit(".jpg")).alias("crop_file"), (c("event_id") % 97).alias("size"), (c("event_id") % 50).alias("hash"), F.when(c("event_id") % 4 > 0, F.bround(c("value") / 500, 4)).alias("confidence"))
 
 
@@ -118,6 +119,21 @@ def slugs_and_label_paths(spark, d):
     return read(spark, d, "part").select(B.slug(c("p_type")).alias("slug"), B.label_path(image).alias("label")).distinct()
 
 
+@query("""WITH RECURSIVE n AS (SELECT row_number() OVER (ORDER BY item_id) AS i, item_id, 'hc_' || kind || CASE item_id % 7 WHEN 0 THEN '_1' WHEN 1 THEN '_1_1' WHEN 2 THEN '_2' WHEN 3 THEN '_' || item_id % 40 ELSE '' END AS base FROM items),
+ t AS (SELECT list(DISTINCT 'hc_' || CASE vendor_id % 3 WHEN 0 THEN 'home' WHEN 1 THEN 'toys_1' ELSE 'sport' END || CASE WHEN vendor_id % 11 > 0 THEN '_' || vendor_id % 11 ELSE '' END) AS used FROM vendors),
+ r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS item_id, NULL::VARCHAR AS name, used FROM t UNION ALL
+  SELECT i, item_id, name, list_append(used, name) FROM (SELECT n.i, n.item_id, r.used, list_filter(list_transform(range(0, 400), lambda k: n.base || CASE WHEN k > 0 THEN '_' || k ELSE '' END), lambda x: NOT list_contains(r.used, x))[1] AS name FROM r JOIN n ON n.i = r.i + 1))
+SELECT item_id, name FROM r WHERE i > 0""")
+def free_names(spark, d):
+    """Names of new files, one by one the first that no file has; stems can be other stems with numbers."""
+    k, v = c("item_id"), c("vendor_id")
+    tail = F.when(k % 7 == 0, "_1").when(k % 7 == 1, "_1_1").when(k % 7 == 2, "_2").when(k % 7 == 3, F.concat(F.lit("_"), (k % 40).cast("string"))).otherwise("")
+    new = read(spark, d, "items").select("item_id", F.concat("kind", tail).alias("stem"), k.alias("ord"))
+    stem = F.when(v % 3 == 0, "home").when(v % 3 == 1, "toys_1").otherwise("sport")
+    taken = read(spark, d, "vendors").select(F.concat(F.lit("hc_"), stem, F.when(v % 11 > 0, F.concat(F.lit("_"), (v % 11).cast("string"))).otherwise("")).alias("stem"))
+    return names.free_stems(new, taken).select("item_id", "name")
+
+
 EXPORTED = "e AS (SELECT user_id AS crop, event_id AS seq, CASE event_type WHEN 'purchase' THEN ' Tank' WHEN 'signup' THEN 'a' WHEN 'error' THEN '' ELSE event_type END AS decision FROM events)"
 
 

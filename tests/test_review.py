@@ -1,23 +1,42 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import review
+from cairn.operators import names, review
 
 
-def test_free_stems(spark):
-    rng = random.Random(2)
-    taken = sorted({"hc_a", "hc_a_1", "hc_a_3", "hc_b_1", "hc_c"} | {f"hc_{rng.choice('abc')}_{rng.randrange(6)}" for _ in range(6)})
-    new = [(s, i) for i, s in enumerate(rng.choice("abcd") for _ in range(25))]
-    got = {r["ord"]: r["name"] for r in review.free_stems(spark.createDataFrame(new, "stem string, ord long"), spark.createDataFrame([(t,) for t in taken], "stem string")).collect()}
-    held = set(taken)
-    for s, i in new:
+def one_by_one(new, taken):
+    held, out = set(taken), {}
+    for s, i in sorted(new, key=lambda x: (x[1], x[0])):
         name, k = f"hc_{s}", 0
         while name in held:
             k += 1
             name = f"hc_{s}_{k}"
         held.add(name)
-        assert got[i] == name
+        out[s, i] = name
+    return out
+
+
+@pytest.mark.parametrize("stems, seed", [("a b c d", 1), ("a a_1 a_1_1 a_2 b", 2), ("a a_1 a_2 a_3 a_1_1 a_1_1_1 a_01 a_0 _1", 3)])
+def test_free_stems(spark, stems, seed):
+    """Random batches are named as one by one, in any order, and no name is given twice or was in use."""
+    rng = random.Random(seed)
+    for size in (25, 60):
+        taken = {f"hc_{rng.choice(stems.split())}" for _ in range(2)} | {f"hc_{rng.choice(stems.split())}_{rng.randrange(6)}" for _ in range(6)}
+        new = [(rng.choice(stems.split()), i) for i in rng.sample(range(1000), size)]
+        got = names.free_stems(spark.createDataFrame(new, "stem string, ord long"), spark.createDataFrame([(t,) for t in taken], "stem string")).collect()
+        found = {(r["stem"], r["ord"]): r["name"] for r in got}
+        assert found == one_by_one(new, taken) and len(set(found.values())) == size == len(got)
+
+
+def test_free_stems_of_two_bases_that_meet(spark):
+    new = spark.createDataFrame([("a", 1, "x"), ("a_1", 2, None), (None, 3, "y"), ("a", 4, "z")], "stem string, ord long, name string")
+    got = names.free_stems(new, spark.createDataFrame([("hc_a",)], "stem string"))
+    assert got.columns == ["stem", "ord", "name", "name_"]
+    assert {r["ord"]: r["name_"] for r in got.collect()} == {1: "hc_a_1", 2: "hc_a_1_1", 3: None, 4: "hc_a_2"}
+    none = names.free_stems(new.limit(0), new.limit(0).select("stem"))
+    assert none.count() == 0
 
 
 def test_export_takes_the_first_mapped_decision(spark):
