@@ -16,7 +16,8 @@ from cairn.operators import names as names_of
 from cairn.operators import review
 from cairn.operators import similarity as S
 from cairn.plans.scratch import stage
-from cairn.sources import files, frames, sinks
+from cairn.sources import files, frames
+from cairn.sources.named_files import write_files
 
 METADATA = [c.split(" ")[0] for c in files.CROPS.split(", ")]
 REVIEW = [c.split(" ")[0] for c in files.REVIEWS.split(", ")]
@@ -69,7 +70,7 @@ def mine(spark: SparkSession, videos: str, out: str, decode: frames.Decoder, mod
     found = stage(frames.detections(frames.scan_videos(spark, videos), decode, model, stride, rule, least_px, resize))
     mined = stage(review.mine(found, F.lit(True), stride, least_px, dedup, bits, cooldown))
     crops = stage(metadata(mined, names, model_name))
-    sinks.write_files(crops.select(F.concat(F.lit("crops/"), "crop_file").alias("path"), F.col("crop").alias("content")), out)
+    write_files(crops.select(F.concat(F.lit("crops/"), "crop_file").alias("path"), F.col("crop").alias("content")), out)
     crops.select(*METADATA).write.mode("overwrite").csv(f"{out}/metadata", header=True)
     total = review.summary(mined, []).first().asDict()
     total["saved_by_class"] = [(r["class_name"], r["count"]) for r in crops.groupBy("class_name").count().orderBy(F.desc("count"), "class_name").collect()]
@@ -112,7 +113,7 @@ def deduplicate_folder(spark: SparkSession, folder: str, metadata_path: str | No
     done.select("crop_file", "leader", action.alias("disposition")).write.mode("overwrite").csv(f"{out}/disposition", header=True)
     content = files.contents(spark, folder, recursive=False).join(done.select("path", "crop_file", "kept"), "path")
     target = F.concat(F.when(F.col("kept"), F.lit("crops/")).otherwise(F.lit("duplicates/")), "crop_file")
-    sinks.write_files(content.select(target.alias("path"), "content"), out)
+    write_files(content.select(target.alias("path"), "content"), out, replaced=["crops", "duplicates"])
     if table is not None:
         table.join(done.where("kept").select("crop_file"), "crop_file", "left_semi").select(*METADATA).write.mode("overwrite").csv(f"{out}/metadata_dedup", header=True)
     clusters, kept, gone = done.agg(F.countDistinct("leader"), F.count_if("kept"), F.count_if(~F.col("kept"))).first()
@@ -152,7 +153,7 @@ def write_grid(spark: SparkSession, folder: str, metadata_path: str | None, out:
         return pd.DataFrame({"path": [f"grid_{int(pdf['page'].iat[0]) + 1:03d}.png"], "content": [png(page)]})
 
     joined = placed.select("crop_file", "page", "x0", "y0").join(pixels.select("crop_file", "height", "width", "nChannels", "data"), "crop_file", "left")
-    sinks.write_files(joined.groupBy("page").applyInPandas(draw, "path string, content binary"), out)  # a page's crops a task
+    write_files(joined.groupBy("page").applyInPandas(draw, "path string, content binary"), out)  # a page's crops a task
     return placed.select("page").distinct().count()
 
 
@@ -233,7 +234,7 @@ def export(spark: SparkSession, log_path: str, places: list[str], out: str) -> d
     stem = F.regexp_replace("crop_file", r"\.[^.]*$", "")
     label = F.concat(F.col("cls").cast("string"), F.lit(" 0.5 0.5 1.0 1.0\n"))
     labels = have.select(F.concat(F.lit("labels/"), stem, F.lit(".txt")).alias("path"), label.cast("binary").alias("content"))
-    sinks.write_files(images.union(labels), out)
+    write_files(images.union(labels), out, replaced=["images", "labels"])
     count = {r["cls"]: r["count"] for r in have.groupBy("cls").count().collect()}
     named = F.coalesce(F.trim("crop_file"), F.lit("")) != ""
     mapped = F.lower(F.trim(F.coalesce("decision", F.lit("")))).isin(*review.SYNONYMS)
@@ -257,7 +258,7 @@ def merge(spark: SparkSession, exported: str, merged: str, split: str = "train",
     pictures = files.contents(spark, f"{exported}/images", recursive=False).withColumnRenamed("path", "image")
     new_images = named.join(pictures, "image").select(F.concat(F.lit("images/"), F.col("name_"), F.lit("."), "ext").alias("path"), "content")
     new_labels = named.join(text, "label", "left").select(F.concat(F.lit("labels/"), F.col("name_"), F.lit(".txt")).alias("path"), F.coalesce("content", F.lit(b"")).alias("content"))
-    sinks.write_files(new_images.union(new_labels), f"{merged}/{split}")
+    write_files(new_images.union(new_labels), f"{merged}/{split}")
     classes = files.scan_classes(spark, f"{exported}/labels", recursive=False).withColumnRenamed("label_path", "label").join(named.select("label"), "label").where("cls is not null")
     a, b, other = classes.agg(F.count_if(F.col("cls") == 0), F.count_if(F.col("cls") == 1), F.count_if(~F.col("cls").isin(0, 1))).first()
     return {"tank": a, "armored_vehicle": b, "other": other, "total": named.count(), "skipped_no_label": both.where("label is null").count()}

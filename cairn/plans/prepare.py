@@ -16,6 +16,7 @@ from cairn.plans import reports
 from cairn.plans.queries import stratified
 from cairn.plans.scratch import stage
 from cairn.sources import files, sinks
+from cairn.sources.named_files import write_files
 
 
 @dataclass(frozen=True)
@@ -66,10 +67,9 @@ def clean(spark: SparkSession, source: Source, bits: int = 8) -> tuple[DataFrame
 
 
 def write_staging(spark: SparkSession, source: Source, boxes: DataFrame, root: str) -> dict[str, int]:
-    """Write the kept images of a source and their labels below ``root/name``, numbered in order of paths, with a manifest; what
-    was there goes first.  Returns instances by class."""
+    """Write the kept images of a source and their labels below ``root/name``, numbered in order of paths, with a manifest.  What
+    was there goes when all is written.  Returns instances by class."""
     folder = f"{root}/{source.name}"
-    sinks.clear(spark, folder)
     sizes = boxes.groupBy("image_path").agg(F.count("*").alias("instances"))
     ext = files.extension(F.col("image_path"))
     known = F.when(ext.isin(*files.IMAGE_EXTENSIONS), ext).otherwise("jpg")
@@ -77,23 +77,24 @@ def write_staging(spark: SparkSession, source: Source, boxes: DataFrame, root: s
     named = stage(review.ranked(sizes, [F.col("image_path")]).select("image_path", "instances", stem.alias("stem"), known.alias("ext")))
     pictures = files.contents(spark, source.root).withColumnRenamed("path", "image_path")
     image = F.concat("stem", F.lit("."), "ext")
-    sinks.write_files(named.join(pictures, "image_path").select(F.concat(F.lit("images/"), image).alias("path"), "content"), folder)
+    new = named.join(pictures, "image_path").select(F.concat(F.lit("images/"), image).alias("path"), "content")
     lines = sinks.label_lines(boxes.join(named.select("image_path", "stem"), "image_path").withColumn("split", F.lit("")))
-    sinks.write_files(lines.select(F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("path"), F.col("text").alias("content")), folder)
+    texts = lines.select(F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("path"), F.col("text").cast("binary").alias("content"))
+    write_files(new.union(texts), folder, replaced=["images", "labels"])
     manifest = named.select(image.alias("image"), F.concat("stem", F.lit(".txt")).alias("label"), F.col("image_path").alias("source_image"), "instances")
     manifest.write.mode("overwrite").json(f"{folder}/manifest")
     return {str(r["cls"]): r["count"] for r in boxes.groupBy("cls").count().orderBy("cls").collect()}
 
 
 def write_merged(spark: SparkSession, samples: DataFrame, staging: str, out: str) -> dict[str, int]:
-    """Write staged ``samples`` (``split``, ``image_path``, ``label_path``) into ``out/split``; what was there goes first.  Returns
-    instances by class."""
-    sinks.clear(spark, *[f"{out}/{s}/{k}" for s in reports.SPLITS for k in ("images", "labels")])
+    """Write staged ``samples`` (``split``, ``image_path``, ``label_path``) into ``out/split``; what was there goes when all is written.
+    Returns instances by class."""
     pictures = files.contents(spark, staging).withColumnRenamed("path", "image_path")
     texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").format("binaryFile").load(staging).select(files._path().alias("label_path"), "content")
     place = lambda kind, column: F.concat_ws("/", "split", F.lit(kind), F.regexp_extract(column, r"([^/]*)$", 1)).alias("path")
-    sinks.write_files(samples.join(pictures, "image_path").select(place("images", "image_path"), "content"), out)
-    sinks.write_files(samples.join(texts, "label_path").select(place("labels", "label_path"), "content"), out)
+    images = samples.join(pictures, "image_path").select(place("images", "image_path"), "content")
+    labels = samples.join(texts, "label_path").select(place("labels", "label_path"), "content")
+    write_files(images.union(labels), out, replaced=[f"{s}/{k}" for s in reports.SPLITS for k in ("images", "labels")])
     boxes = files.scan_labels(spark, staging).where("error is null").join(samples.select("label_path"), "label_path", "left_semi")
     return {str(r["cls"]): r["count"] for r in boxes.groupBy("cls").count().orderBy("cls").collect()}
 

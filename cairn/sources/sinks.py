@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import posixpath
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from cairn.sources.files import _hadoop
+from cairn.sources.named_files import write_files
 
 
 def six_places(value: Column) -> Column:
@@ -31,50 +30,6 @@ def label_lines(boxes: DataFrame) -> DataFrame:
     return rows.select("split", "stem", F.concat(F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("\n")).alias("text"))
 
 
-class Files(DataSource):
-    """``df.write.format("named_files").save(folder)`` writes ``content`` to ``folder/path`` for each row, on any file system that
-    executors reach: local paths they all mount, or a URI."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "named_files"
-
-    def schema(self) -> str:
-        return "path string, content binary"
-
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"])
-
-
-class _Writer(DataSourceWriter):
-    def __init__(self, root: str):
-        self.root = root
-
-    def write(self, rows) -> WriterCommitMessage:
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        files, base = fs.FileSystem.from_uri(self.root) if "://" in self.root else (fs.LocalFileSystem(), self.root)
-        task, made = TaskContext.get().taskAttemptId(), set()
-        for r in rows:
-            path = posixpath.join(base, r["path"])
-            folder, name = posixpath.split(path)
-            if folder not in made:
-                files.create_dir(folder, recursive=True)
-                made.add(folder)
-            part = f"{folder}/.{name}.{task}"
-            with files.open_output_stream(part) as out:
-                out.write(bytes(r["content"] or b""))
-            files.move(part, path)  # a task that runs again writes the same file
-        return WriterCommitMessage()
-
-
-def write_files(rows: DataFrame, folder: str) -> None:
-    """Write ``content`` of each row to ``path`` below ``folder``; equal paths are written once, the last of them."""
-    rows.sparkSession.dataSource.register(Files)
-    rows.select("path", F.col("content").cast("binary").alias("content")).write.format("named_files").mode("append").save(folder)
-
-
 def write_labels(boxes: DataFrame, folder: str, files: DataFrame | None = None) -> None:
     """``folder/split/labels/stem.txt`` of each label; ``files`` (``split``, ``stem``) lists labels that may have no box, which get
     an empty file."""
@@ -85,13 +40,6 @@ def write_labels(boxes: DataFrame, folder: str, files: DataFrame | None = None)
     write_files(lines.select(path.alias("path"), F.coalesce("text", F.lit("")).alias("content")), folder)
 
 
-def clear(spark: SparkSession, *folders: str) -> None:
-    """Delete output folders that are about to be written anew."""
-    for folder in folders:
-        at, files = _hadoop(spark, folder)
-        files.delete(at, True)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file, written by the driver to any file system that Spark knows."""
     at, files = _hadoop(spark, path)
