@@ -62,7 +62,8 @@ def metadata(mined: DataFrame, names: dict[int, str], model: str) -> DataFrame:
 
 
 def mine(spark: SparkSession, videos: str, out: str, decode: frames.Decoder, model, names: dict[int, str], model_name: str = "model", rule=None, stride: int = 15, least_px: int = 50, dedup: str = "standard", bits: int | None = None, cooldown: int | None = None, resize: int = 128) -> dict:
-    """Mine all videos below a folder; crops go to ``out/crops`` and their metadata to ``out/metadata``, each as it is saved.
+    """Mine all videos below a folder; crops go to ``out/crops`` and their metadata to ``out/metadata``,
+    written when all videos are done; ``streaming.mining`` writes as it goes.
 
     Returns the counters: considered, saved, skipped_small, skipped_temporal, their reduction, saved by class (most first, then
     by name), and whether the other way to deduplicate is worth trying."""

@@ -28,6 +28,18 @@ def scan_videos(spark: SparkSession, root: str) -> DataFrame:
     return found.where(files.extension(found["path"]).isin(*files.VIDEO_EXTENSIONS)).select("path", "name", files.stem(found["path"]).alias("stem"))
 
 
+def judged(frame: np.ndarray, detect: Detector, accept: Callable[[int, float], bool] | None, least_px: int, resize: int) -> Iterator[tuple]:
+    """What ``accept`` takes of the detections in a frame, from ``seq`` on as in ``DETECTIONS``."""
+    high, wide = frame.shape[:2]
+    for seq, (cls, conf, x1, y1, x2, y2) in enumerate(detect(frame)):
+        if accept is not None and not accept(cls, conf):
+            continue
+        a, b, c, d = (max(0, min(round(v), m)) for v, m in ((x1, wide - 1), (y1, high - 1), (x2, wide), (y2, high)))
+        cut = frame[b:d, a:c] if c - a >= least_px and d - b >= least_px else None
+        whole = cut is not None and cut.size > 0
+        yield (seq, cls, conf, x1, y1, x2, y2, wide, high, hash_pixels(resized(cut, resize)) if whole else None, png(cut) if whole else None)
+
+
 def detections(videos: DataFrame, decode: Decoder, model: Callable[[], Detector], stride: int = 15, accept: Callable[[int, float], bool] | None = None, least_px: int = 50, resize: int = 128, hash_size: int = 8) -> DataFrame:
     """Detections of every ``stride``-th frame of ``videos``, a task for a few videos at a time; ``model`` is made once a task.
 
@@ -50,14 +62,7 @@ def detections(videos: DataFrame, decode: Decoder, model: Callable[[], Detector]
             for at, frame in enumerate(stream):
                 if at % stride:
                     continue
-                high, wide = frame.shape[:2]
-                for seq, (cls, conf, x1, y1, x2, y2) in enumerate(detect(frame)):
-                    if accept is not None and not accept(cls, conf):
-                        continue
-                    a, b, c, d = (max(0, min(round(v), m)) for v, m in ((x1, wide - 1), (y1, high - 1), (x2, wide), (y2, high)))
-                    cut = frame[b:d, a:c] if c - a >= least_px and d - b >= least_px else None
-                    whole = cut is not None and cut.size > 0
-                    rows.append((name, stem, fps, at, seq, cls, conf, x1, y1, x2, y2, wide, high, hash_pixels(resized(cut, resize)) if whole else None, png(cut) if whole else None))
+                rows += [(name, stem, fps, at, *x) for x in judged(frame, detect, accept, least_px, resize)]
                 if len(rows) >= 64:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
