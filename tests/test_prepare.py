@@ -41,8 +41,8 @@ def test_leakage(spark, source, tmp_path):
     exact, near = prepare.leakage(spark, str(source), out=str(tmp_path / "leak.md"))
     assert exact.count() == 0 and near.count() == 4
     text = (tmp_path / "leak.md").read_text()
-    assert "**Cross-split near-duplicate clusters**: **4**" in text and "**Files involved**: 8" in text
-    assert text.count("**Cluster ") == 4 and all(f"`i{k}.png`" in text for k in (4, 5, 10, 11, 16, 17, 22, 23)) and "`i0.png`" not in text
+    assert "by at most 8 of 64 bits: 4 clusters of 8 files" in text and "Equal bytes across splits: 0 groups" in text
+    assert text.count("### Alike ") == 4 and all(f"`i{k}.png`" in text for k in (4, 5, 10, 11, 16, 17, 22, 23)) and "`i0.png`" not in text
 
 
 def test_prepare(spark, merged, tmp_path):
@@ -78,7 +78,7 @@ def test_reports_of_the_merged_set(spark, merged, tmp_path):
     assert f"| p | {total[0]} | {total[1]} | {sum(total.values())} |" in (tmp_path / "merged_class_distribution.md").read_text()
     stats = reports.final_statistics(spark, out, NAMES, str(tmp_path))
     assert stats["images"] == meta["images"] and stats["empty"] == {"train": 0, "val": 0, "test": 0} and stats["total"] == [["a", total[0]], ["b", total[1]]]
-    assert f"### train\n- **Images**: {meta['images']['train']}\n- **Empty label files**: 0\n" in (tmp_path / "final_statistics.md").read_text()
+    assert f"| train | {meta['images']['train']} | 0 |" in (tmp_path / "final_statistics.md").read_text()
 
 
 def test_class_distribution(spark, source, tmp_path):
@@ -90,7 +90,7 @@ def test_class_distribution(spark, source, tmp_path):
     assert total == {0: 0, 1: 0, 2: 0, 3: count(0) + count(3), 4: count(1), 9: count(2)}
     assert {r[0]: r[3] for r in seen["images"] if r[2] == "TOTAL"}[3] == 23
     text = (tmp_path / "class_distribution.md").read_text()
-    assert "- **Label files scanned**: 24" in text and "- **Empty label files**: 1" in text and "| 2 | r\\|s | 0 |" in text
+    assert "| 24 | 1 | 0 |" in text and "| 2 | r\\|s | 0 | 0 |" in text
 
 
 def test_analysis(spark, source, tmp_path):
@@ -102,7 +102,7 @@ def test_analysis(spark, source, tmp_path):
     groups = x["duplicates"]["largest_label_groups"]
     assert [g["size"] for g in groups] == [6, 6, 6, 5] and all(len(g["paths"]) == 3 and g["more"] == g["size"] - 3 for g in groups)
     assert json.loads((tmp_path / "dataset_analysis.json").read_text())[0]["valid_boxes"] == 56
-    assert "| area (w*h) | 0.04 |" in (tmp_path / "dataset_report.md").read_text()
+    assert "| share of the image | 0.04 |" in (tmp_path / "dataset_report.md").read_text()
 
 
 def test_invalid_boxes(spark, tmp_path):
@@ -115,7 +115,7 @@ def test_invalid_boxes(spark, tmp_path):
     assert got["tags"] == {"extends_past_right": 2, "extends_past_left": 1, "width_or_height_exceeds_1": 1}
     assert got["classes"] == [("q", 3), ("2", 1)] and got["malformed"] == {"too_few_fields (3)": 1, "parse_error": 1} and got["shown"] == 3
     text = (tmp_path / "invalid_boxes.md").read_text()
-    assert "Raw: `1 0.95 0.5 0.2 0.2`" in text and "right=5.00e-02" in text and "| `extends_past_right` | 2 | x + w/2 > 1 |" in text
+    assert "class q: `1 0.95 0.5 0.2 0.2` `extends_past_right`" in text and "| right | 1.05 | 5.00e-02 |" in text and "| `extends_past_right` | ends right of it | 2 |" in text
 
 
 @pytest.mark.parametrize("folders, rule, want", [
