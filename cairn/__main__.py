@@ -38,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         ("--mode", {"default": "civilian", "choices": ["civilian", "hardcase_all"]}), ("--conf", {"type": float, "default": 0.5}), ("--target-class", {"default": "civilian_vehicle"}), ("--class-id", {"type": int}), ("--uncertain-conf", {"type": float, "default": 0.6}), ("--uncertain-floor", {"type": float, "default": 0.25}),
         ("--frame-stride", whole(15)), ("--min-crop-px", whole(50)), ("--dedup-mode", {"default": "standard", "choices": ["standard", "aggressive"]}), ("--hash-threshold", {"type": int}), ("--cooldown-frames", {"type": int}), ("--hash-resize", whole(128)),
     )
-    program("deduplicate", "one crop of each cluster", ("--crops", {"required": True}), ("--metadata", {}), ("--threshold", whole(5)), ("--output", {"required": True}))
+    program("deduplicate", "one crop of each cluster", ("--crops", {"required": True}), ("--metadata", {}), ("--threshold", whole(5)), ("--hash-size", whole(8)), ("--output", {"required": True}))
     program("create_grid", "pages of crops", ("--crops", {"required": True}), ("--metadata", {}), ("--output", {"required": True}), ("--rows", whole(10)), ("--cols", whole(10)), ("--cell", whole(128)), ("--pad", whole(4)), ("--sort", {"default": "conf-asc", "choices": ["name", "conf-asc", "conf-desc"]}), ("--all-pages", {"action": "store_true"}))
     program("review_hardcases", "pending crops, or decisions of key strokes", ("--crops", {"required": True}), ("--review-csv", {"required": True}), ("--metadata", {}), ("--keys", {"help": "CSV of crop_file and key"}))
     program("export_reviewed_hardcases", "reviewed crops as a data set", ("--review-csv", {"required": True}), ("--places", {"nargs": "+", "required": True, "help": "folders of crops, the first that has one counts"}), ("--output", {"required": True}))
@@ -90,7 +90,7 @@ def run(spark: SparkSession, o: argparse.Namespace) -> object:
         rule = hardcases.mining_rule(o.mode, known, o.target_class, o.class_id, o.conf, below=o.uncertain_conf, floor=o.uncertain_floor)
         return hardcases.mine(spark, o.videos, o.output, _loaded(o.decoder), model, known, o.model, rule, o.frame_stride, o.min_crop_px, o.dedup_mode, o.hash_threshold, o.cooldown_frames, o.hash_resize)
     if c == "deduplicate":
-        return hardcases.deduplicate_folder(spark, o.crops, o.metadata, o.output, o.threshold)
+        return hardcases.deduplicate_folder(spark, o.crops, o.metadata, o.output, o.threshold, o.hash_size)
     if c == "create_grid":
         return {"pages": hardcases.write_grid(spark, o.crops, o.metadata, o.output, o.sort, o.rows, o.cols, o.cell, o.pad, o.all_pages)}
     if c == "review_hardcases":

@@ -53,14 +53,20 @@ def grey_of(pixels: np.ndarray) -> np.ndarray:
     return grey
 
 
-def hash_pixels(pixels: np.ndarray, size: int = 8, scale: int = 4) -> int:
-    """Signed 64-bit hash (``size`` 8) of a grey or colour array of rows by columns."""
+def hash_words(pixels: np.ndarray, size: int = 8, scale: int = 4) -> list[int]:
+    """Hash of ``size`` times ``size`` bits of a grey or colour array of rows by columns, as signed words of 64 bits; the last word is
+    filled with zeros."""
     grey, n = grey_of(pixels), size * scale
     small = _areas(grey.shape[0], n) @ grey @ _areas(grey.shape[1], n).T
     low = (_dct(n) @ small @ _dct(n).T)[:size, :size]
     bits = (low > np.median(low)).ravel()
-    value = int("".join("1" if b else "0" for b in bits), 2)
-    return value - (1 << 64) if value >> 63 else value
+    packed = np.packbits(np.pad(bits, (0, -len(bits) % 64)))
+    return packed.view(">i8").astype(np.int64).tolist()
+
+
+def hash_pixels(pixels: np.ndarray) -> int:
+    """Signed 64-bit hash of an array."""
+    return hash_words(pixels)[0]
 
 
 #: The hash of a black image, which can stand for one that can't be read.
@@ -83,16 +89,17 @@ def _pixels(height: int, width: int, channels: int, data: bytes | None) -> np.nd
     return np.frombuffer(data, np.uint8).reshape(int(height), int(width), int(channels)) if fine else None
 
 
-def perceptual_hash(image: Column, resize: int = 0) -> Column:
+def perceptual_hash(image: Column, resize: int = 0, size: int = 8) -> Column:
     """Of a struct that Spark's image source makes, reduced to ``resize`` pixels a side first if that isn't 0; null where it
-    can't be read."""
+    can't be read.  A number for ``size`` 8, else an array of words."""
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("array<long>")
     def of(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
         read = (_pixels(*x) for x in zip(height, width, channels, data))
-        return pd.Series([None if p is None else hash_pixels(resized(p, resize)) for p in read], dtype="Int64")
+        return pd.Series([None if p is None else hash_words(resized(p, resize), size) for p in read], dtype=object)
 
-    return of(image["height"], image["width"], image["nChannels"], image["data"])
+    words = of(image["height"], image["width"], image["nChannels"], image["data"])
+    return F.get(words, 0) if size == 8 else words
 
 
 def montage(cells: list[tuple[int, int, np.ndarray | None]], wide: int, high: int, cell: int, ground: int = 20) -> np.ndarray:

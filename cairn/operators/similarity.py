@@ -106,13 +106,14 @@ def hamming_pairs(items: DataFrame, t: int) -> DataFrame:
     return pairs.select("a", "b", "oa", "ob", F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))).alias("distance"))
 
 
-def clusters(items: DataFrame, t: int) -> DataFrame:
+def clusters(items: DataFrame, t: int, near: DataFrame | None = None) -> DataFrame:
     """``id`` and ``leader`` of each item under sequential leader clustering by Hamming distance, see ``leaders``.
 
-    Items of equal hash share a leader, so one of each hash, the first, stands for all; a null hash leads itself."""
+    Items of equal hash share a leader, so one of each hash, the first, stands for all; a null hash leads itself.
+    ``near`` has the pairs of hashes (``ha``, ``hb``) at most ``t`` apart where ``hash`` only numbers them."""
     base = items.where("hash is not null")
     first = stage(base.groupBy("hash").agg(F.min("ord").alias("ord"), F.min_by("id", "ord").alias("id")))
-    near = near_hashes(first.select("hash"), t)
+    near = near_hashes(first.select("hash"), t) if near is None else near
     a = first.select(F.col("hash").alias("ha"), F.col("id").alias("a"), F.col("ord").alias("oa"))
     b = first.select(F.col("hash").alias("hb"), F.col("id").alias("b"), F.col("ord").alias("ob"))
     ends = near.join(a, "ha").join(b, "hb")

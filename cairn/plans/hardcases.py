@@ -15,6 +15,7 @@ from cairn.functions.images import _pixels, montage, perceptual_hash, png
 from cairn.operators import names as names_of
 from cairn.operators import review
 from cairn.operators import similarity as S
+from cairn.operators import wide as wide_hashes
 from cairn.plans.scratch import stage
 from cairn.sources import files, frames
 from cairn.sources.named_files import write_files
@@ -82,34 +83,37 @@ def mine(spark: SparkSession, videos: str, out: str, decode: frames.Decoder, mod
 # --- crops -------------------------------------------------------------------------------------------------------------
 
 
-def scan_crops(spark: SparkSession, folder: str, hashed: bool = False) -> DataFrame:
+def scan_crops(spark: SparkSession, folder: str, hashed: bool = False, hash_size: int = 8) -> DataFrame:
     """``crop_file``, ``path`` and ``size`` of the crops right in a folder, and their ``hash``, null where they can't be read."""
     found = files.listing(spark, folder, recursive=False)
     crops = found.where(files.extension(F.col("path")).isin(*files.IMAGE_EXTENSIONS)).select(F.col("name").alias("crop_file"), "path", F.col("length").alias("size"))
     if not hashed:
         return crops
     pixels = spark.read.format("image").option("dropInvalid", True).load(folder)
-    hashes = pixels.select(F.regexp_extract(F.url_decode(F.regexp_replace("image.origin", r"\+", "%2B")), r"([^/]*)$", 1).alias("crop_file"), perceptual_hash(F.col("image")).alias("hash"))
+    hashes = pixels.select(F.regexp_extract(F.url_decode(F.regexp_replace("image.origin", r"\+", "%2B")), r"([^/]*)$", 1).alias("crop_file"), perceptual_hash(F.col("image"), size=hash_size).alias("hash"))
     return crops.join(hashes, "crop_file", "left")
 
 
-def deduplicate(crops: DataFrame, confidences: DataFrame, bits: int = 5) -> DataFrame:
+def deduplicate(crops: DataFrame, confidences: DataFrame, bits: int = 5, hash_size: int = 8) -> DataFrame:
     """``crops`` (``crop_file``, ``size``, ``hash`` and more) with ``leader`` and ``kept``: of a cluster by hash, in order of names, the
     crop with the highest confidence stays (-1 without one), of equal ones the larger file, then the last by name."""
     items = stage(crops.join(confidences, "crop_file", "left").withColumns({"id": F.col("crop_file"), "ord": F.col("crop_file")}))
-    lead = stage(S.clusters(items, bits))
+    wide = items.withColumnRenamed("hash", "words")
+    lead = stage(S.clusters(items, bits) if hash_size == 8 else wide_hashes.clusters(wide, bits, hash_size * hash_size))
     best = items.join(lead, "id").groupBy("leader").agg(F.max(F.struct(F.coalesce("confidence", F.lit(-1.0)), "size", "id")).alias("b")).select(F.col("b.id").alias("best"))
     out = items.join(lead, "id").join(best, F.col("id") == F.col("best"), "left")
     return out.select(*crops.columns, "confidence", "leader", F.col("best").isNotNull().alias("kept"))
 
 
-def deduplicate_folder(spark: SparkSession, folder: str, metadata_path: str | None, out: str, bits: int = 5) -> dict:
+def deduplicate_folder(spark: SparkSession, folder: str, metadata_path: str | None, out: str, bits: int = 5, hash_size: int = 8) -> dict:
     """Deduplicate the crops of a folder: ``out/crops`` gets those that stay, ``out/duplicates`` the others, ``out/metadata_dedup`` the
     metadata of those that stay, and ``out/disposition`` what becomes of each."""
-    crops = stage(scan_crops(spark, folder, hashed=True))
+    if hash_size < 2:
+        raise ValueError("hash_size must be 2 or more")
+    crops = stage(scan_crops(spark, folder, hashed=True, hash_size=hash_size))
     table = files.read_csv(spark, metadata_path, files.CROPS) if metadata_path else None
     known = files.confidences(table) if table is not None else spark.createDataFrame([], "crop_file string, confidence double")
-    done = stage(deduplicate(crops, known, bits))
+    done = stage(deduplicate(crops, known, bits, hash_size))
     action = F.when(F.col("kept"), "keep").otherwise("duplicate")
     done.select("crop_file", "leader", action.alias("disposition")).write.mode("overwrite").csv(f"{out}/disposition", header=True)
     content = files.contents(spark, folder, recursive=False).join(done.select("path", "crop_file", "kept"), "path")
