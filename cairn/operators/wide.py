@@ -14,10 +14,10 @@ from cairn.operators import similarity as S
 from cairn.plans.scratch import stage
 
 
-def bands(t: int, bits: int, many: int) -> tuple[int, int] | None:
+def bands(t: int, bits: int, many: int, always: bool = False) -> tuple[int, int] | None:
     """Width of the bands for ``many`` hashes of ``bits`` bits, and how many bits may differ in the best of them; None where comparing
-    all pairs in blocks costs less.  Widths divide 64, so no band lies in two words."""
-    best, cost = None, S.VECTOR * -(-bits // 64) * many * many / 2
+    all pairs in blocks costs less (unless ``always``).  Widths divide 64, so no band lies in two words."""
+    best, cost = None, float("inf") if always else S.VECTOR * -(-bits // 64) * many * many / 2
     for width in (64, 32, 16, 8, 4):
         m = -(-bits // width)
         r = t // m
@@ -81,7 +81,7 @@ def near_hashes(nodes: DataFrame, t: int, bits: int, banded: bool | None = None)
     """Pairs ``ha`` < ``hb`` of numbers of ``nodes`` (of ``numbered``) at most ``t`` bits apart; ``banded`` says which way, by default
     the cheaper one."""
     many = nodes.count()
-    plan = bands(t, bits, many) if banded is None else (bands(t, bits, 1 << 40) if banded else None)
+    plan = bands(t, bits, many) if banded is None else (bands(t, bits, many, always=True) if banded else None)
     return _blocked(nodes, t, many) if plan is None else _banded(nodes, t, bits, *plan)
 
 

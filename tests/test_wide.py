@@ -18,7 +18,7 @@ def words(value, bits):
     return [x - (1 << 64) if x >> 63 else x for x in out]
 
 
-@pytest.mark.parametrize("size, t, banded", [(4, 3, True), (12, 20, True), (12, 9, False), (16, 31, True), (16, 40, False), (10, 13, True)])
+@pytest.mark.parametrize("size, t, banded", [(4, 3, True), (12, 20, True), (12, 9, False), (16, 31, True), (16, 40, False), (10, 13, True), (16, 63, True)])
 def test_pairs_and_clusters(spark, size, t, banded):
     rng, bits = random.Random(size * t), size * size
     base = [rng.getrandbits(bits) for _ in range(8)]
@@ -62,4 +62,4 @@ def test_hash_words():
         ones = sum((x & (2**64 - 1)).bit_count() for x in held)
         assert abs(ones - size * size / 2) <= 1
     assert I.hash_words(picture)[0] == I.hash_pixels(picture)
-    assert wide.bands(8, 144, 10**9) is not None and wide.bands(8, 144, 10) is None
+    assert wide.bands(8, 144, 10**9) is not None and wide.bands(8, 144, 10) is None and wide.bands(63, 256, 500, always=True) == (8, 1)
