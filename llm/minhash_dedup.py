@@ -208,16 +208,31 @@ def _compare(queries: list, members: list, percent: int, far: int, parent: dict[
 
 
 def _in_blocks(ask: DataFrame, told: DataFrame, sets: DataFrame, percent: int, far: int) -> DataFrame:
-    """Links between the nodes of ``ask`` and ``told`` of equal ``g``; where a group's name begins with k both are the same."""
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        count = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES))
-        cut = df.join(df.groupBy("g").agg(count.alias("c")), "g").withColumn("k", F.pmod(F.xxhash64("id"), F.col("c"))).join(sets, "id")
+    """Links between the nodes of ``ask`` and ``told`` of equal ``g``; where a group's name begins with k both are the same.
+
+    A group's nodes are dealt to its blocks, and each block is sent to the pairs of blocks that it is in: no task gets more of
+    a group than two blocks."""
+    used = []
+
+    def blocks(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        rows = materialize(df, name)
+        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+        hot = materialize(hot_keys(sizes, ["g"], "c", rows.count()), f"{name}-hot")
+        count = sizes.select("g", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("n") * 8 / BLOCK_BYTES)).alias("k"))
+        cut = spread_join(rows, count, ["g"], hot).withColumn("k", F.pmod(F.xxhash64("id"), F.col("k"))).join(sets, "id")
         listed = F.collect_list(F.struct("id", "comp", "n", "s", "t", "set"))  # bounded by a block
-        return cut.groupBy("g", "k").agg(listed.alias(name)).select("g", F.col("k").alias(name[0]), name)
+        used.extend((rows, hot))
+        return cut.groupBy("g", "k").agg(listed.alias(name)).select("g", F.col("k").alias(name[0]), name), count
 
-    compared = blocks(ask, "queries").join(blocks(told, "members"), "g").where("not g like 'k%' or q <= m")
-    return materialize(compared.groupBy("g", "q", "m").applyInPandas(_blocks(percent, far), "a long, b long"), "links")
+    (queries, many), (members, some) = blocks(ask, "queries"), blocks(told, "members")
+    twice = F.col("g").like("k%")
+    count = many.withColumnRenamed("k", "ks").join(some.withColumnRenamed("k", "ms"), "g")
+    left = queries.join(count, "g").select("g", "q", F.explode(F.sequence(F.when(twice, F.col("q")).otherwise(0), F.col("ms") - 1)).alias("m"), "queries")
+    right = members.join(count, "g").select("g", F.explode(F.sequence(F.lit(0), F.when(twice, F.col("m")).otherwise(F.col("ks") - 1))).alias("q"), "m", "members")
+    compared = left.join(right, ["g", "q", "m"])
+    links = materialize(compared.groupBy("g", "q", "m").applyInPandas(_blocks(percent, far), "a long, b long"), "links")
+    remove(*used)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -261,8 +276,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     large = labels.groupBy("comp").count().where(F.col("count") > LARGE).select("comp", F.lit(True).alias("large"))
     label = labels.join(large, "comp", "left").select("id", "comp", F.coalesce("large", F.lit(False)).alias("large"))
     here = materialize(shared.join(label, "id"), "labelled")
-    mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count_if(~F.col("large")).alias("small"))
-    mixed = mixed.where("lo <> hi").select("key", "small")
+    # Tables that have the same large components are one hand: a node with a hundred such tables asks these components once.
+    per = here.groupBy("key", "comp", "large").agg(F.count("*").alias("c"))
+    hand = F.bit_xor(F.when(F.col("large"), F.xxhash64("comp"))).alias("hand")
+    mixed = per.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.coalesce(F.sum(F.when(~F.col("large"), F.col("c"))), F.lit(0)).alias("small"), hand)
+    mixed = mixed.where("lo <> hi").select("key", "small", "hand")
     labelled, here = here, materialize(spread_join(here, mixed, ["key"], hot), "mixed")
     few = here.where(~F.col("large") & (F.col("small") <= LARGE))
     near = (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & _close(percent, far)
@@ -271,10 +289,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # Large components, and tables of many small ones, in blocks.  Such tables that have nodes in common are one group.
     links = links.union(second)
-    node = ["id", "comp", "n", "s", "t"]
+    node, more = ["id", "comp", "n", "s", "t"], []
     if not here.where(F.col("large") | (F.col("small") > LARGE)).isEmpty():
-        asked = here.where("large").select("key", F.col("comp").alias("of")).distinct()
-        ask = here.join(asked, "key").where("comp <> of").select(F.concat(F.lit("c"), "of").alias("g"), *node).distinct()
+        dealt = materialize(here.where("hand is not null").select("hand", *node).distinct(), "hands")
+        asked = here.where("large").select("hand", F.col("comp").alias("of")).distinct()
+        held = materialize(hot_keys(dealt.groupBy("hand").agg(F.count("*").alias("c")), ["hand"], "c", dealt.count()), "held")
+        ask = spread_join(dealt, asked, ["hand"], held).where("comp <> of").select(F.concat(F.lit("c"), "of").alias("g"), *node).distinct()
         told = shared.select("id", "n", "s", "t").distinct().join(label.where("large"), "id").select(F.concat(F.lit("c"), "comp").alias("g"), *node)
         crowded = here.where(~F.col("large") & (F.col("small") > LARGE))
         hub = crowded.groupBy("key").agg(F.min("id").alias("b"))
@@ -282,10 +302,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         many = crowded.select(*node).distinct().join(crowd, "id", "left").select(F.concat(F.lit("k"), F.coalesce("component", "id")).alias("g"), *node)
         queries, members = ask.union(many), told.join(ask.select("g").distinct(), "g", "left_semi").select("g", *node).union(many)
         links = links.union(_in_blocks(queries, members, sets, percent, far))
+        more = [dealt, held]
     group = components(links)
     known = reps.join(group, F.col("rep") == F.col("id"), "left").select(*of, "many", F.coalesce("component", "rep").alias("component"))
     known = materialize(known, "known")
-    remove(sets, here, labelled, shared, several, hot, nodes, labels, reps, group)
+    remove(sets, here, labelled, shared, several, hot, nodes, labels, reps, group, *more)
     # The exact copies of a common text are many rows of one key.
     often = hot_keys(known, of, "many", base.count())
     own = base.withColumns({c: F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col(c)) for c in ("f", "g")})
