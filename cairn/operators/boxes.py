@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import boxes as B
+from cairn.operators.names import running
+from cairn.plans.scratch import stage
 
 XYWH = ("x", "y", "w", "h")
 
@@ -60,9 +62,36 @@ def health(boxes: DataFrame) -> DataFrame:
 
 
 def percentiles(df: DataFrame, value: Column, by: list[str], points: list[float]) -> DataFrame:
-    """Exact percentiles with linear interpolation as columns p1, p5, ... of each group."""
-    out = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p / 100) for p in points])).alias("_p"))
-    return out.select(*by, *[F.round(F.col("_p")[i], 9).alias(f"p{p:g}") for i, p in enumerate(points)])
+    """Exact percentiles with linear interpolation as columns p1, p5, ... of each group; nan is the greatest, null counts for none,
+    and a group of nulls has nulls.
+
+    Values are counted first, however often they repeat, and their counts summed up over ranges of (group, value).  The values
+    that hold the wanted ranks are picked where they lie, so a single group is spread over all tasks and none keeps its values."""
+    spark, held = df.sparkSession, F.struct(*by) if by else F.lit(0)
+    each = stage(df.select(held.alias("g"), value.cast("double").alias("v")).groupBy("g", "v").agg(F.count("*").alias("n")))
+    total = each.agg(F.sum("n")).first()[0] or 0
+    upto = running(each.where("v is not null"), ["g", "v"], F.col("n"), "upto")
+    # A group lies in a few stretches of places; what is known of it goes to each.
+    stretch = total // int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    upto = stage(upto.withColumn("k", F.floor(F.col("upto") / stretch)))
+    parts = upto.groupBy("g", "k").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.max("upto").alias("end"))
+    ends = parts.groupBy("g").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    placed = upto.join(parts.select("g", "k").join(ends, "g"), ["g", "k"])
+    last = F.col("end") - F.col("start") - 1
+    holds = lambda rank: (F.col("upto") - F.col("n") - F.col("start") <= rank) & (rank < F.col("upto") - F.col("start"))
+    ranks = [(F.floor(last * (p / 100)), F.ceil(last * (p / 100))) for p in points]
+    wanted = F.lit(False)
+    for low, high in ranks:
+        wanted = wanted | holds(low) | holds(high)
+    picks = [F.max(F.when(holds(r), F.col("v"))).alias(f"{name}{i}") for i, pair in enumerate(ranks) for name, r in zip("ab", pair)]
+    found = placed.where(wanted).groupBy("g").agg(F.max(last).alias("last"), *picks)
+
+    def between(i: int, p: float) -> Column:
+        at, a, b = F.col("last") * (p / 100), F.col(f"a{i}"), F.col(f"b{i}")
+        return F.round(F.when(a == b, a).otherwise((F.ceil(at) - at) * a + (at - F.floor(at)) * b), 9).alias(f"p{p:g}")
+
+    out = each.select("g").distinct().join(found, "g", "left")
+    return out.select(*[F.col("g").getField(c).alias(c) for c in by], *[between(i, p) for i, p in enumerate(points)])
 
 
 def dominant_class(boxes: DataFrame, order: Column) -> DataFrame:

@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from cairn.functions import boxes as B
+from cairn.operators import boxes as O
 
 #: line, class, strictly valid, loosely valid, category or error
 LINES = [
@@ -57,3 +60,19 @@ def test_names_masks_and_clamps(spark):
         B.clamp(F.lit(2.5), F.lit(10)).alias("e"),
     ).first()
     assert (r["m"], r["c"], r["n"], r["s"], r["u"], r["a"], r["b"], r["e"]) == (0b1011, 0.87, None, "abc", "unknown", 0, 9, 2)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_percentiles_are_those_of_a_sorted_list(spark, seed):
+    """Ties, nan, one row, nulls only, a null group, and a group with most of the rows; nothing at all gives nothing."""
+    rng = random.Random(seed)
+    rows = [("hot", rng.choice([1.0, 1.0, 2.5, rng.random()])) for _ in range(700)]
+    rows += [(g, rng.choice([None, -0.5, 3.0, float("nan")])) for g in ("a", None) for _ in range(rng.randrange(1, 40))]
+    rows += [("one", 7.25), ("none", None), ("none", None)]
+    df, points = spark.createDataFrame(rows, "g string, v double"), [0, 1, 25, 50, 99, 100]
+    want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p / 100) for p in points])).alias("p"))
+    want = {r["g"]: [None] * len(points) if r["p"] is None else [round(x, 9) for x in r["p"]] for r in want.collect()}
+    got = {r["g"]: list(r)[1:] for r in O.percentiles(df, F.col("v"), ["g"], points).collect()}
+    assert {g: list(map(str, x)) for g, x in got.items()} == {g: list(map(str, x)) for g, x in want.items()}
+    assert got["one"] == [7.25] * len(points) and got["none"] == [None] * len(points)
+    assert O.percentiles(df.where("v > 10 and not isnan(v)"), F.col("v"), ["g"], points).count() == 0
