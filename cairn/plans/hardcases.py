@@ -17,7 +17,7 @@ from cairn.operators import review
 from cairn.operators import similarity as S
 from cairn.operators import wide as wide_hashes
 from cairn.plans.scratch import stage
-from cairn.sources import files, frames
+from cairn.sources import files, frames, review_log
 from cairn.sources.named_files import write_files
 
 METADATA = [c.split(" ")[0] for c in files.CROPS.split(", ")]
@@ -166,9 +166,8 @@ def write_grid(spark: SparkSession, folder: str, metadata_path: str | None, out:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """A review log, with ``seq`` in order of time, then of the file."""
-    log = files.read_csv(spark, path, files.REVIEWS)
-    return log.withColumn("seq", F.struct("timestamp", F.monotonically_increasing_id().alias("k")))
+    """A review log, with ``seq`` in the order of appending; what wasn't appended here comes first, by time, then by the file."""
+    return review_log.read(spark, path, files.REVIEWS)
 
 
 def current(log: DataFrame) -> DataFrame:
@@ -194,17 +193,19 @@ def pending(crops: DataFrame, log: DataFrame, metadata_table: DataFrame | None =
 
 def events(keys: DataFrame, crops: DataFrame) -> DataFrame:
     """Rows of a review log from key strokes (``crop_file``, ``key``): a decision each, ``undo`` for u, nothing for other keys; with
-    the ``place`` that the crop then belongs to, null where it stays."""
+    the ``place`` that the crop then belongs to, null where it stays, and ``stroke``, which has the order of ``keys``."""
+    keys = keys.withColumn("stroke", F.monotonically_increasing_id())
     known = F.create_map(*[F.lit(v) for kv in [*KEYS.items(), ("u", "undo")] for v in kv])
     places = F.create_map(*[F.lit(v) for kv in PLACES.items() for v in kv])
     said = keys.withColumn("decision", F.try_element_at(known, F.lower(F.trim("key")))).where("decision is not null")
     said = said.join(crops.select("crop_file", "confidence"), "crop_file", "left")
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-    return said.select("crop_file", "decision", F.bround("confidence", 4).alias("confidence"), stamp.alias("timestamp"), F.try_element_at(places, F.col("decision")).alias("place"))
+    return said.select("crop_file", "decision", F.bround("confidence", 4).alias("confidence"), stamp.alias("timestamp"), F.try_element_at(places, F.col("decision")).alias("place"), "stroke")
 
 
-def append_events(rows: DataFrame, path: str) -> None:
-    rows.select(*REVIEW).write.mode("append").csv(path, header=True)
+def append_events(rows: DataFrame, path: str) -> int:
+    """Add ``events`` to a log, after all that it has; see ``review_log``, also for making one snapshot of many appends."""
+    return review_log.append(rows, ["stroke"], REVIEW, path)
 
 
 def rewrite_log(spark: SparkSession, path: str, out: str) -> None:

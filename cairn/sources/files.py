@@ -229,12 +229,13 @@ def class_names(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "class_id int, class_name string")
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV file with a header, by the names of its columns; cells that don't fit their type are null, as are missing columns."""
+def read_csv(spark: SparkSession, path: str | list[str], schema: str, *also: Column) -> DataFrame:
+    """A CSV file with a header, by the names of its columns; cells that don't fit their type are null, as are missing columns.
+    ``also`` are more columns, of the file's metadata for example."""
     text = spark.read.csv(path, header=True, quote='"', escape='"')
     wanted = T.StructType.fromDDL(schema)
     have = {c.strip(): c for c in text.columns}
-    return text.select(*[(F.col(f"`{have[f.name]}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted])
+    return text.select(*[(F.col(f"`{have[f.name]}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted], *also)
 
 
 def confidences(metadata: DataFrame, blank: float | None = 0.0) -> DataFrame:
