@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from cairn.operators.covering import near_pairs
 from cairn.plans.scratch import drop, stage
 
-#: Hashes of a block, of which a task compares two; and what comparing a pair there costs next to a row of a join.
-BLOCK, VECTOR = 4096, 0.02
+#: What comparing a pair in an array costs next to a row of a join.
+VECTOR = 0.02
 #: Most looked-up values of a hash.
 FLIPS = 2000
 #: With so many live edges left or fewer, one task ends the rounds of ``leaders``.
@@ -26,7 +27,7 @@ LAST = 1_000_000
 
 def bands(t: int, many: int) -> tuple[list[tuple[int, int]], int] | None:
     """(shift, width) of each band for ``many`` hashes, and how many bits may differ in the best one; None where comparing
-    all pairs in blocks costs less.
+    comparing cells around pivots may cost less.
 
     If hashes differ in t bits, one of m bands differs in t // m at most.  The cost of m is that of looked-up values and of
     the candidates that evenly spread hashes would have."""
@@ -64,32 +65,11 @@ def _banded(nodes: DataFrame, t: int, cut: list[tuple[int, int]], r: int) -> Dat
     return a.join(b, ["band", "bits"]).where((F.col("ha") < F.col("hb")) & (F.bit_count(x) <= t) & (first == F.col("band"))).select("ha", "hb")
 
 
-def _blocked(nodes: DataFrame, t: int, many: int) -> DataFrame:
-    """The same pairs by comparing all hashes in blocks, a pair of blocks at a time; only pairs near enough leave a task."""
-    count = max(1, -(-many // BLOCK))
-    block = F.pmod(F.xxhash64("hash"), F.lit(count))
-    blocks = nodes.groupBy(block.alias("i")).agg(F.collect_list("hash").alias("x"))  # about BLOCK numbers of 8 bytes
-    met = blocks.join(blocks.select(F.col("i").alias("j"), F.col("x").alias("y")), F.col("i") <= F.col("j"))
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for x, y in zip(pdf["x"], pdf["y"]):
-            x, y = np.asarray(x, dtype=np.int64), np.asarray(y, dtype=np.int64)
-            for lo in range(0, len(x), 256):
-                a, b = np.nonzero(np.bitwise_count((x[lo : lo + 256, None] ^ y[None, :]).view(np.uint64)) <= t)
-                out.append(np.stack([x[lo + a], y[b]], 1))
-        ends = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-        ends = np.unique(np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1), axis=0)
-        return pd.DataFrame(ends, columns=["ha", "hb"])
-
-    return met.groupBy("i", "j").applyInPandas(near, "ha long, hb long")
-
-
 def near_hashes(nodes: DataFrame, t: int) -> DataFrame:
     """Pairs ``ha`` < ``hb`` of the different hashes of ``nodes`` (``hash``, each once) at most ``t`` bits apart."""
     many = nodes.count()
     plan = bands(t, many)
-    return _blocked(nodes, t, many) if plan is None else _banded(nodes, t, *plan)
+    return near_pairs(nodes.select("hash", F.array("hash").alias("words")), t, many) if plan is None else _banded(nodes, t, *plan)
 
 
 def hamming_pairs(items: DataFrame, t: int) -> DataFrame:

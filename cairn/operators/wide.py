@@ -5,18 +5,17 @@ from __future__ import annotations
 from itertools import combinations
 from math import comb
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators import similarity as S
+from cairn.operators.covering import near_pairs
 from cairn.plans.scratch import stage
 
 
 def bands(t: int, bits: int, many: int, always: bool = False) -> tuple[int, int] | None:
     """Width of the bands for ``many`` hashes of ``bits`` bits, and how many bits may differ in the best of them; None where comparing
-    all pairs in blocks costs less (unless ``always``).  Widths divide 64, so no band lies in two words."""
+    all pairs as arrays would cost less (unless ``always``).  Widths divide 64, so no band lies in two words."""
     best, cost = None, float("inf") if always else S.VECTOR * -(-bits // 64) * many * many / 2
     for width in (64, 32, 16, 8, 4):
         m = -(-bits // width)
@@ -53,25 +52,6 @@ def _banded(nodes: DataFrame, t: int, bits: int, width: int, r: int) -> DataFram
     return a.join(b, ["band", "bits"]).where((F.col("ha") < F.col("hb")) & near & (first == F.col("band"))).select("ha", "hb")
 
 
-def _blocked(nodes: DataFrame, t: int, many: int) -> DataFrame:
-    """The same pairs by comparing all hashes, a pair of blocks at a time."""
-    count = max(1, -(-many // S.BLOCK))
-    block = F.pmod(F.xxhash64("hash"), F.lit(count))
-    blocks = nodes.groupBy(block.alias("i")).agg(F.collect_list(F.struct("hash", "words")).alias("x"))  # about BLOCK rows
-    met = blocks.join(blocks.select(F.col("i").alias("j"), F.col("x").alias("y")), F.col("i") <= F.col("j"))
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for x, y in zip(pdf["x"], pdf["y"]):
-            (hx, wx), (hy, wy) = (([r["hash"] for r in z], np.array([list(r["words"]) for r in z], dtype=np.int64)) for z in (x, y))
-            for lo in range(0, len(wx), 256):
-                apart = np.bitwise_count((wx[lo : lo + 256, None] ^ wy[None]).view(np.uint64)).sum(axis=2)
-                out += [tuple(sorted((hx[lo + a], hy[b]))) for a, b in zip(*np.nonzero(apart <= t)) if hx[lo + a] != hy[b]]
-        return pd.DataFrame(sorted(set(out)), columns=["ha", "hb"], dtype="int64")
-
-    return met.groupBy("i", "j").applyInPandas(near, "ha long, hb long")
-
-
 def numbered(items: DataFrame) -> DataFrame:
     """``hash``, a number, and ``words`` of each different hash of ``items``."""
     return stage(items.where("words is not null").select("words").distinct().withColumn("hash", F.monotonically_increasing_id()))
@@ -82,7 +62,7 @@ def near_hashes(nodes: DataFrame, t: int, bits: int, banded: bool | None = None)
     the cheaper one."""
     many = nodes.count()
     plan = bands(t, bits, many) if banded is None else (bands(t, bits, many, always=True) if banded else None)
-    return _blocked(nodes, t, many) if plan is None else _banded(nodes, t, bits, *plan)
+    return near_pairs(nodes, t, many) if plan is None else _banded(nodes, t, bits, *plan)
 
 
 def hamming_pairs(items: DataFrame, t: int, bits: int, banded: bool | None = None) -> DataFrame:
