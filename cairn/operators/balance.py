@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cairn.plans.scratch import drop, stage
+
+STATE = "_g string, picks array<double>, total double, swapped int, dropped int, added_v array<double>, added_n array<int>, last double, seen int, done boolean, top double"
+
 
 @dataclass
 class _Group:
-    """What the driver knows of a group: its picks' densities in order, their sum, and how far swapping has come."""
+    """A group: its picks' densities in order, their sum, and how far swapping has come."""
 
     picks: list
     total: float
@@ -46,48 +51,74 @@ class _Group:
         self.done = self.total >= low or self.swapped >= len(self.picks) - self.dropped
 
 
+def _row(key: str, x: _Group, high: float) -> pd.DataFrame:
+    """A group as a row of ``STATE``; ``top`` is the greatest density that is still of use."""
+    top = None if x.done else float(x.room(high) if x.last is None else min(x.room(high), x.last))
+    values = [key, x.picks, x.total, x.swapped, x.dropped, list(x.added), list(x.added.values()), x.last, x.seen, x.done, top]
+    return pd.DataFrame([values], columns=[c.split(" ")[0] for c in STATE.split(", ")])
+
+
+def _group(r: pd.Series) -> _Group:
+    last = None if pd.isna(r["last"]) else float(r["last"])
+    added = dict(zip([float(v) for v in r["added_v"]], [int(n) for n in r["added_n"]], strict=True))
+    return _Group([float(v) for v in r["picks"]], float(r["total"]), int(r["swapped"]), int(r["dropped"]), last, int(r["seen"]), added, bool(r["done"]))
+
+
 def band_subset(records: DataFrame, group: str, target: int, low: float, high: float) -> DataFrame:
     """``records`` (``group``, ``id``, ``density``, ``ord``) kept in each group; rows without a group are a group of their own.
 
     The ``target`` least dense come first.  If their sum is over ``high``, the densest of them go until it isn't.  If it is
     under ``low``, picks from the least dense on are swapped for the densest others, skipping those that would overshoot,
-    until the band is reached or nothing denser is left.  A group of ``target`` or fewer stays whole.
-
-    The driver gets the picks' densities and, in passes, the ``target`` densest others that can still be swapped in: at most
-    a few times ``target`` numbers a group.  A group's rows are ranked up to those numbers only, never sorted as a whole."""
-    g, kind = F.col(group), dict(records.dtypes)
-    spark = records.sparkSession
-    rank = lambda *order: F.row_number().over(W.partitionBy(group).orderBy(*order))
-    picks = records.withColumn("_k", rank("density", "ord")).where(F.col("_k") <= target)
-    found = {r[group]: _Group(list(r["s"]), sum(r["s"])) for r in picks.groupBy(group).agg(F.sort_array(F.collect_list("density")).alias("s")).collect()}
-    sizes = {r[group]: r["n"] for r in records.groupBy(group).agg(F.count("*").alias("n")).collect()}
-    for key, x in found.items():
-        if sizes[key] <= target:
-            x.done = True
-        else:
-            x.thin(high)
-            x.done = x.total >= low
+    until the band is reached or nothing denser is left.  A group of ``target`` or fewer stays whole.  A null density counts as
+    0 and stays null; densities are reckoned as doubles.
+
+    Groups are gone through in the executors, in passes: a task holds the picks of a group and the ``target`` densest others
+    that can still be swapped in, a few times ``target`` numbers, and what it found is written for the next pass.  The driver
+    gets the number of groups that aren't finished.  A group's rows are ranked up to those numbers only, never sorted as a whole."""
+    rows = records.select("*", F.to_json(F.struct(F.col(group))).alias("_g"), F.coalesce(F.col("density").cast("double"), F.lit(0.0)).alias("_v"))
+    rank = lambda *order: F.row_number().over(W.partitionBy("_g").orderBy(*order))
+    picks = stage(rows.withColumn("_k", rank("_v", "ord")).where(F.col("_k") <= target))
+    edge = picks.groupBy("_g").agg(F.max(F.struct("_v", "ord")).alias("_edge"), F.sort_array(F.collect_list("_v")).alias("_picks"))
     # The others are the rows after the last pick in order.
-    edge = F.broadcast(picks.groupBy(g.alias("_g")).agg(F.max(F.struct("density", "ord")).alias("_edge")))
-    rest = records.join(edge, g.eqNullSafe(F.col("_g"))).where(F.struct("density", "ord") > F.col("_edge")).drop("_g", "_edge")
-    while active := {k: x for k, x in found.items() if not x.done}:
-        ask = [(k, float(x.room(high) if x.last is None else min(x.room(high), x.last)), x.seen) for k, x in active.items()]
-        asked = F.broadcast(spark.createDataFrame(ask, f"_g {kind[group]}, _top double, _skip int"))
-        near = rest.join(asked, g.eqNullSafe(F.col("_g"))).where(F.col("density") <= F.col("_top"))
-        near = near.withColumn("_r", rank(F.desc("density"), F.desc("ord"))).where(F.col("_r") <= target + F.col("_skip")).where(F.col("_r") <= 2 * target + 1)
-        held = {r[group]: sorted(r["s"], reverse=True) for r in near.groupBy(group).agg(F.collect_list("density").alias("s")).collect()}
-        for key, x in active.items():
-            others = held.get(key, [])
-            others = others[min(x.seen, others.count(x.last)) :]
-            x.swap(others, low, high)
-            x.done = x.done or len(others) < target
-    plan = [(k, x.swapped, len(x.picks) - x.dropped) for k, x in found.items()]
-    known = F.broadcast(spark.createDataFrame(plan, f"_g {kind[group]}, _from int, _to int"))
-    swaps = [(k, v, n) for k, x in found.items() for v, n in x.added.items()]
-    added = F.broadcast(spark.createDataFrame(swaps, f"_g {kind[group]}, _v {kind['density']}, _n int"))
+    rest = stage(rows.join(edge.select("_g", "_edge"), "_g").where(F.struct("_v", "ord") > F.col("_edge")).drop("_edge"))
+    whole = rest.select("_g").distinct().withColumn("_more", F.lit(True))
+
+    def begin(batches):
+        for pdf in batches:
+            out = []
+            for key, values, more in zip(pdf["_g"], pdf["_picks"], pdf["_more"]):
+                x = _Group([float(v) for v in values], float(sum(values)))
+                if more:
+                    x.thin(high)
+                x.done = not more or x.total >= low
+                out.append(_row(key, x, high))
+            if out:
+                yield pd.concat(out)
+
+    first = edge.join(whole, "_g", "left").select("_g", "_picks", F.coalesce("_more", F.lit(False)).alias("_more"))
+    state = stage(first.mapInPandas(begin, STATE))
+
+    def swap(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        x = _group(own.iloc[0])
+        if x.done:
+            return own
+        held = sorted((float(v) for v in others["_v"]), reverse=True)
+        held = held[min(x.seen, held.count(x.last)) :]
+        x.swap(held, low, high)
+        x.done = x.done or len(held) < target
+        return _row(own["_g"].iloc[0], x, high)
+
+    while state.where("not done").count():
+        asked = state.where("not done").select("_g", "top", "seen")
+        near = rest.select("_g", "_v", "ord").join(asked, "_g").where(F.col("_v") <= F.col("top"))
+        near = near.withColumn("_r", rank(F.desc("_v"), F.desc("ord"))).where(F.col("_r") <= 2 * target + 1).where(F.col("_r") <= target + F.col("seen"))
+        last, state = state, stage(state.groupBy("_g").cogroup(near.select("_g", "_v").groupBy("_g")).applyInPandas(swap, STATE))
+        drop(last)
     # The densest picks go, of equal ones the first; the least dense are swapped out in order.
-    ranked = picks.withColumn("_d", rank(F.desc("density"), "_k")).withColumn("_all", F.count("*").over(W.partitionBy(group)))
-    kept = ranked.join(known, g.eqNullSafe(F.col("_g"))).where((F.col("_k") > F.col("_from")) & (F.col("_d") > F.col("_all") - F.col("_to")))
-    new = rest.join(added, g.eqNullSafe(F.col("_g")) & (F.col("density") == F.col("_v")))
-    new = new.withColumn("_r", F.row_number().over(W.partitionBy(group, "density").orderBy(F.desc("ord")))).where(F.col("_r") <= F.col("_n"))
+    span = state.select("_g", F.col("swapped").alias("_from"), (F.size("picks") - F.col("dropped")).alias("_to"))
+    ranked = picks.withColumn("_d", rank(F.desc("_v"), "_k")).withColumn("_all", F.count("*").over(W.partitionBy("_g")))
+    kept = ranked.join(span, "_g").where((F.col("_k") > F.col("_from")) & (F.col("_d") > F.col("_all") - F.col("_to")))
+    added = state.select("_g", F.explode(F.arrays_zip("added_v", "added_n")).alias("x")).select("_g", F.col("x.added_v").alias("_v"), F.col("x.added_n").alias("_n"))
+    new = rest.join(added, ["_g", "_v"])
+    new = new.withColumn("_r", F.row_number().over(W.partitionBy("_g", "_v").orderBy(F.desc("ord")))).where(F.col("_r") <= F.col("_n"))
     return kept.select(*records.columns).unionByName(new.select(*records.columns))
