@@ -27,13 +27,14 @@ from cairn.plans.scratch import stage
 #: Most pivots, hashes they are chosen from, and hashes a cell should have on average; hashes of a block.
 PIVOTS, SAMPLE, SHARE, BLOCK = 1024, 8192, 16, 4096
 ROWS = 1024  # hashes whose distances to all pivots are held at once
+TILE = 1 << 16  # distances of a step of comparing
 
 
 def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hamming distances of all rows of ``a`` and ``b``, arrays of 64-bit words."""
-    total = np.zeros((len(a), len(b)), dtype=np.int32)
+    total, b = np.zeros((len(a), len(b)), dtype=np.uint16), np.ascontiguousarray(b.T)
     for w in range(a.shape[1]):
-        total += np.bitwise_count((a[:, w, None] ^ b[None, :, w]).view(np.uint64))
+        total += np.bitwise_count((a[:, w, None] ^ b[w]).view(np.uint64))
     return total
 
 
@@ -159,12 +160,15 @@ def near_pairs(nodes: DataFrame, t: int, many: int, compared: Accumulator | None
         out = [np.zeros((0, 2), dtype=np.int64)]
         own = np.unique(cy)
         to = apart(wx, centres[own])  # a hash farther from a cell's pivot than its radius and t is near none of its members
-        for k, c in enumerate(own):
-            some, others = np.flatnonzero(meets[c][cx] & (to[:, k] <= radius[c] + t)), np.flatnonzero(cy == c)
+        jobs = [(np.flatnonzero(meets[c][cx] & (to[:, k] <= radius[c] + t)), np.flatnonzero(cy == c)) for k, c in enumerate(own)]
+        if 2 * sum(len(some) * len(others) for some, others in jobs) > len(hx) * len(hy):
+            jobs = [(np.arange(len(hx)), np.arange(len(hy)))]  # little is left out; going by cells would cost more than it spares
+        for some, others in jobs:
             if compared is not None:
                 compared.add(len(some) * len(others))
-            for lo in range(0, len(some), 256):
-                a, b = np.nonzero(apart(wx[some[lo : lo + 256]], wy[others]) <= t)
+            step = max(1, TILE // max(1, len(others)))
+            for lo in range(0, len(some), step):
+                a, b = np.nonzero(apart(wx[some[lo : lo + step]], wy[others]) <= t)
                 out.append(np.stack([hx[some[lo + a]], hy[others[b]]], axis=1))
         ends = np.concatenate(out)
         ends = np.unique(np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1), axis=0)

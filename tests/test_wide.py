@@ -8,6 +8,7 @@ import pytest
 from cairn import __main__ as programs
 from cairn.functions import images as I
 from cairn.operators import wide
+from cairn.plans import report_queries
 from tests.test_similarity import sequential
 
 
@@ -63,3 +64,15 @@ def test_hash_words():
         assert abs(ones - size * size / 2) <= 1
     assert I.hash_words(picture)[0] == I.hash_pixels(picture)
     assert wide.bands(8, 144, 10**9) is not None and wide.bands(8, 144, 10) is None and wide.bands(63, 256, 500, always=True) == (8, 1)
+
+
+def test_query_compares_where_bands_would_pair_more(spark, tmp_path, monkeypatch):
+    """Bits of four levels agree too often for bands: their join has more rows than there are pairs."""
+    monkeypatch.setattr(wide, "_banded", None)
+    v = np.random.default_rng(8).normal(0, 0.125, (90, 64))
+    v[1:30] = v[0] + np.random.default_rng(9).normal(0, 0.03, (29, 64))
+    spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    bits = (v[:, None, :] > np.array(report_queries.LEVELS)[:, None]).reshape(len(v), -1)
+    apart = (bits[:, None] != bits).sum(axis=2)
+    got = {(r["a"], r["b"]): r["distance"] for r in report_queries.wide_hamming_pairs(spark, str(tmp_path)).collect()}
+    assert got == {(a, b): apart[a, b] for a in range(90) for b in range(a + 1, 90) if apart[a, b] <= 63} and len(got) > 100
