@@ -488,7 +488,7 @@ SELECT name, coalesce(conf, try_cast(regexp_extract(regexp_replace(name, '\\.[^.
 def confidence_fallback(spark, d):
     e = read(spark, d, "events")
     name = F.concat(F.lit("e"), c("event_id").cast("string"), F.lit("_c"), F.lpad((c("event_id") % 101).cast("string"), 3, "0"), F.lit(".jpg"))
-    known = e.where("event_id % 3 = 0").select("event_id", F.bround(c("value") / 500, 4).alias("conf"))
+    known = e.where("event_id % 3 = 0").select("event_id", B.round_even(c("value") / 500, 4).alias("conf"))
     return e.select("event_id", name.alias("name")).join(known, "event_id", "left").select("name", F.coalesce("conf", B.confidence_from_name(c("name"))).alias("conf"))
 
 

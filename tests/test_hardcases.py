@@ -1,10 +1,12 @@
 """The hard-case loop on small folders: stub decoder and detector, then each program on what the one before wrote."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cairn import __main__ as programs
+from cairn import catalog
 from cairn.functions import boxes as B
 from cairn.functions import images as I
 from cairn.plans import hardcases as H
@@ -150,3 +152,17 @@ def test_program_of_mining(spark, mined, tmp_path, capsys, monkeypatch):
     code = programs.main(["mine_hardcases", "--videos", str(root / "videos"), "--output", str(tmp_path / "o"), "--decoder", "tests.test_hardcases:decode", "--model", "tests.test_hardcases:model", "--frame-stride", "5", "--target-class", "TANK", "--conf", "0.4"])
     assert code == 0 and '"saved": 4' in capsys.readouterr().out
     assert programs.main(["mine_hardcases", "--videos", str(root / "videos"), "--output", str(tmp_path / "o"), "--decoder", "tests.test_hardcases:decode", "--model", "tests.test_hardcases:model", "--target-class", "boat"]) == 2
+
+
+@pytest.mark.parametrize("name", ["grid_labels", "crop_disposition", "crop_orders", "confidence_fallback"])
+def test_confidences_are_those_of_the_sql(spark, tmp_path, name):
+    """Values whose hundredths or units of four places are ties in decimal and none in binary, or the other way; zeros with a sign."""
+    values = [272.5, 287.48, 287.5, 612.51, 1067.5, 13.475, 240.575, 28.425, 1.775, -0.0, 0.0, -0.01, -2.5, 2.5, 37.5, float("inf"), float("-inf"), float("nan"), None, 1e13]
+    rows = [(i * len(values) + k, v) for i in range(12) for k, v in enumerate(values)]
+    spark.createDataFrame(rows, "event_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(catalog.ORACLE_SQL[name])
+    columns = [x[0] for x in want.description]
+    got = catalog.QUERIES[name](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
