@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from cairn.functions import boxes as B
 from cairn.operators.names import running
 from cairn.plans.scratch import stage
 
 XYWH = ("x", "y", "w", "h")
+#: Boxes of a partition of ``distribution``, and how many make more than one worthwhile.
+SHARE, LEAST = 1_200_000, 50_000
 
 
 def _cols() -> list[Column]:
@@ -38,9 +41,20 @@ def clean_counters(boxes: DataFrame, mapping: dict[int, int], drop: set[int]) ->
 
 
 def distribution(boxes: DataFrame) -> DataFrame:
-    """Instances and distinct images by split and class, with a row of all splits (split null) for each class."""
-    one = boxes.groupBy("split", "cls", "image").agg(F.count("*").alias("n"))
-    return one.groupingSets([[F.col("split"), F.col("cls")], [F.col("cls")]], F.col("split"), F.col("cls")).agg(F.sum("n").alias("instances"), F.countDistinct("image").alias("images"))
+    """Instances and distinct images by split and class, with a row of all splits (split null) for each class.
+
+    Boxes are dealt by image and class to partitions of ``SHARE`` boxes, more of them the more boxes there are, and sorted there,
+    so a task's memory doesn't grow with the table; where a split or an image begins is counted, and only counts leave a partition."""
+    boxes = boxes.select("split", "cls", "image")
+    many, most = boxes.count(), int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(most, many // LEAST), -(-many // SHARE))
+    order = W.partitionBy("cls", "image").orderBy("split")
+    first = F.row_number().over(order) == 1
+    seen = boxes.repartition(parts, "cls", "image").select("split", "cls", "image", first.alias("first"), (first | ~F.lag("split").over(order).eqNullSafe(F.col("split"))).alias("new"))
+    known = F.col("image").isNotNull()
+    per = seen.groupBy("split", "cls").agg(F.count("*").alias("n"), F.count_if(known & F.col("new")).alias("own"), F.count_if(known & F.col("first")).alias("firsts"))
+    images = F.when(F.grouping("split") == 0, F.sum("own")).otherwise(F.sum("firsts"))
+    return per.groupingSets([[F.col("split"), F.col("cls")], [F.col("cls")]], F.col("split"), F.col("cls")).agg(F.sum("n").alias("instances"), images.alias("images"))
 
 
 def dense_grid(counts: DataFrame, splits: list[str], classes: list[int], values: list[str]) -> DataFrame:

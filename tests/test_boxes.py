@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,17 @@ def test_percentiles_are_those_of_a_sorted_list(spark, seed):
     assert {g: list(map(str, x)) for g, x in got.items()} == {g: list(map(str, x)) for g, x in want.items()}
     assert got["one"] == [7.25] * len(points) and got["none"] == [None] * len(points)
     assert O.percentiles(df.where("v > 10 and not isnan(v)"), F.col("v"), ["g"], points).count() == 0
+
+
+def test_distribution_deals_by_number_of_boxes(spark, monkeypatch, capsys):
+    """Nulls, an image in several splits and one with most of the boxes; no partition is to hold more boxes as the table grows."""
+    monkeypatch.setattr(O, "SHARE", 50, raising=False)
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([0, 1, 2, None]), rng.choice([7, 7, 7, None, rng.randrange(90)])) for _ in range(2000)]
+    got = O.distribution(spark.createDataFrame(rows, "split string, cls int, image long"))
+    groups = [(s, k, [r for r in rows if r[:2] == (s, k)]) for s, k in {r[:2] for r in rows}]
+    groups += [(None, k, [r for r in rows if r[1] == k]) for k in {r[1] for r in rows}]
+    want = [(s, k, len(own), len({r[2] for r in own} - {None})) for s, k, own in groups]
+    assert sorted(map(repr, want)) == sorted(repr((r["split"], r["cls"], r["instances"], r["images"])) for r in got.collect())
+    got.explain()
+    assert re.search(r"hashpartitioning\(cls#\w+, image#\w+, 40\)", capsys.readouterr().out)
